@@ -66,7 +66,7 @@ def capped(value: str) -> str:
     return f"CAST(LEAST(100, {rnd(value, 1)}) AS DECIMAL(22,1))"
 
 
-TOKENS = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), x -> x <> '')"
+TOKENS = r"[x for x in regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+') if x <> '']"
 
 
 def tokens(text: str) -> str:
