@@ -12,6 +12,7 @@ from pyspark.sql.types import ByteType, DecimalType, FloatType, IntegerType, Sho
 from segmentry.plans import profile, segments
 from segmentry.sources import bindings, seeds
 from segmentry.sources.bindings import AS_OF, load
+from segmentry.sources.storage import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,13 +57,19 @@ class Data:
             self.customers, self.events, self.campaign_events, AS_OF, self.n_customers
         )
 
+    @cached_property
+    def stored_profiles(self) -> DataFrame:
+        """The profile as a written table, for queries that read it more than once."""
+        return materialise(self.profiles, "customer-360")
+
     @property
     def min_size(self) -> int:
         return segments.minimum_size(self.n_customers)
 
     @cached_property
     def segments(self) -> DataFrame:
-        return segments.micro_segments(self.profiles, self.min_size)
+        """Micro-segments of the stored profile."""
+        return segments.micro_segments(self.stored_profiles, self.min_size)
 
 
 def publish(df: DataFrame) -> DataFrame:

@@ -139,7 +139,7 @@ def segment_base(d: Data):
 
 @query("micro_segments", with_("segments") + sel(SEGMENTS, "segments"))
 def micro_segments(d: Data):
-    return d.segments
+    return segments.micro_segments(d.profiles, d.min_size)
 
 
 MEMBERS = """members AS (SELECT c.* FROM c360 c JOIN segments s ON s.segment_id = 1
@@ -150,7 +150,7 @@ MEMBERS = """members AS (SELECT c.* FROM c360 c JOIN segments s ON s.segment_id
 @query("segment_members", with_("segments") + ", " + MEMBERS + sel(
     " customer_id rfm_segment churn_risk_tier preferred_channel customer_health_score:d", "members"))
 def segment_members(d: Data):
-    return segments.segment_members(d.profiles, d.segments, SEGMENT_ID).select(
+    return segments.segment_members(d.stored_profiles, d.segments, SEGMENT_ID).select(
         "customer_id", "rfm_segment", "churn_risk_tier", "preferred_channel", "customer_health_score"
     )
 
@@ -177,7 +177,7 @@ ACTIVATE = with_("segments") + ", " + MEMBERS + ", " + PRIOR + ", " + STAGED
 
 def activated(d: Data) -> activation.Activation:
     return activation.activate_segment(
-        d.profiles, d.segments, prior_audience(d), SEGMENT_ID, CAMPAIGN, NOW, n_rows=d.n_customers
+        d.stored_profiles, d.segments, prior_audience(d), SEGMENT_ID, CAMPAIGN, NOW, n_rows=d.n_customers
     )
 
 
@@ -203,12 +203,12 @@ def activation_summary(d: Data):
   GREATEST(r, 0.05) AS convert_rate
 FROM (SELECT segment_id, segment_name, CAST(avg_campaign_conversion_rate AS DOUBLE) AS r FROM segments)""")
 def activation_rates(d: Data):
-    return activation.activation_rates(d.segments)
+    return activation.activation_rates(segments.micro_segments(d.profiles, d.min_size))
 
 
 @query("join_anti", ACTIVATE + " SELECT customer_id FROM staged")
 def join_anti(d: Data):
-    members = segments.segment_members(d.profiles, d.segments, SEGMENT_ID)
+    members = segments.segment_members(d.stored_profiles, d.segments, SEGMENT_ID)
     return activation.not_pending(members, prior_audience(d), CAMPAIGN).select("customer_id")
 
 
@@ -399,7 +399,7 @@ def refresh_chain(d: Data):
 # ---- metrics layer ----------------------------------------------------------
 
 def layer(d: Data) -> metrics.MetricsLayer:
-    return metrics.MetricsLayer(d.profiles, d.segments)
+    return metrics.MetricsLayer(d.stored_profiles, d.segments)
 
 
 JOINED = """joined AS (SELECT c.*, s.segment_id, s.segment_name, s.total_revenue_opportunity, s.intent_score
@@ -450,7 +450,7 @@ def semantic_topk(d: Data):
 @query("q_top_segments", with_("segments") + """SELECT segment_id, segment_name, customer_count,
   CAST(intent_score AS DOUBLE) AS intent_score FROM segments ORDER BY intent_score DESC NULLS FIRST, segment_id LIMIT 5""")
 def q_top_segments(d: Data):
-    return questions.top_segments(d.segments)
+    return questions.top_segments(segments.micro_segments(d.profiles, d.min_size))
 
 
 @query("q_segment_size", with_("c360") + """SELECT COUNT(*) AS customer_count FROM c360

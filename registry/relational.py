@@ -19,8 +19,8 @@ from segmentry.sources.bindings import AS_OF
 from segmentry.sources.schemas import AUDIENCES
 from segmentry.sources.storage import Tables
 
-# Small enough that the range-split forms below run even on the small test data.
-SPLIT_ROWS = 1_000
+# Small enough that the partitioned ranks below run even on the small test data.
+SPLIT_ROWS = 4_000
 
 
 def n() -> Column:
@@ -607,7 +607,8 @@ def array_explode(d: Data):
     """Personas unfolded to the micro-segments they stand for."""
     ids = F.explode(F.from_json("micro_segment_ids", "array<bigint>"))
     unfolded = seeds.personas(d.spark).select("persona_name", ids.alias("segment_id"))
-    return d.segments.join(F.broadcast(unfolded), "segment_id").select(
+    found = segments.micro_segments(d.profiles, d.min_size)
+    return found.join(F.broadcast(unfolded), "segment_id").select(
         "persona_name", "segment_id", "segment_name", "customer_count"
     )
 

@@ -1,35 +1,31 @@
 """Global ranks without sending all rows through one task.
 
-A window without ``PARTITION BY`` runs in a single task. Here the rows are cut
-into key ranges by sampled boundaries; a row's global rank is its rank inside
-its range plus the number of rows in the lower ranges. The boundaries only
-balance the work: the result is exact for any boundaries. They are literals in
-the plan, so a recomputed task places each row as before.
+A window without ``PARTITION BY`` runs in a single task. Here the rows are
+range-partitioned by the sort keys and sorted inside each partition; a row's
+global rank is its place in its partition plus the number of rows in the lower
+partitions. The placed rows are written once, so the second pass sees the same
+partitions whatever happens to the executors.
 
 Keys are columns sorted ascending with NULLs first; use :func:`descending` and
-:func:`nulls_last` to express other orders. The last key must be unique, which
-also splits a value that very many rows share.
+:func:`nulls_last` for other orders. The last key must be unique: ranks are
+then the same on every run, and a value that very many rows share is spread
+over several partitions.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from segmentry.sources.storage import materialise
 
 # Up to this many rows a single window task is the better plan. The count is
-# always checked; beyond it the range-split form takes over.
+# always checked; beyond it the partitioned form takes over.
 ROWS_PER_TASK = 200_000
-SAMPLES_PER_RANGE = 20
 
-_JSON = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
+# monotonically_increasing_id keeps the row's place in the low 33 bits.
+_PLACE_BITS = 33
 
 
 def descending(number: Column) -> Column:
@@ -42,71 +38,6 @@ def nulls_last(column: Column) -> Column:
     return F.struct(column.isNull().alias("absent"), column.alias("value"))
 
 
-def _key(keys: list[Column]) -> Column:
-    return F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-
-
-def _literal_keys(rows: list[str], key_type: StructType) -> Column:
-    """Sorted key values as one array literal (folded by the optimizer)."""
-    schema = ArrayType(StructType([StructField("key", key_type)]))
-    parsed = F.from_json(F.lit("[" + ",".join(rows) + "]"), schema, _JSON)
-    return F.transform(parsed, lambda e: e["key"])
-
-
-def _as_json(key: Column) -> Column:
-    return F.to_json(F.struct(key.alias("key")), _JSON)
-
-
-@dataclass
-class Ranges:
-    """Range number of a row and the first rank of every range."""
-
-    number: Column
-    sizes: dict[int, int]
-
-    @property
-    def count(self) -> int:
-        return max(self.sizes, default=0) + 1
-
-    def offsets(self) -> list[int]:
-        offsets, total = [], 0
-        for i in range(self.count):
-            offsets.append(total)
-            total += self.sizes.get(i, 0)
-        return offsets
-
-
-def _range_number(key: Column, bounds: list[str], key_type: StructType) -> Column:
-    """How many boundaries are not above the key: first by blocks, then inside one block."""
-    width = max(1, round(len(bounds) ** 0.5))
-    blocks = [bounds[i:i + width] for i in range(0, len(bounds), width)]
-    heads = _literal_keys([b[0] for b in blocks], key_type)
-    schema = ArrayType(ArrayType(StructType([StructField("key", key_type)])))
-    text = "[" + ",".join("[" + ",".join(b) + "]" for b in blocks) + "]"
-    inner = F.from_json(F.lit(text), schema, _JSON)
-    passed = F.size(F.filter(heads, lambda h: h <= key))
-    block = F.element_at(inner, F.greatest(passed, F.lit(1)))
-    return F.greatest(passed - 1, F.lit(0)) * F.lit(width) + F.size(
-        F.filter(block, lambda e: e["key"] <= key)
-    )
-
-
-def split_ranges(df: DataFrame, keys: list[Column], n_rows: int, rows_per_task: int) -> Ranges:
-    """Sample boundaries and count the rows of every range (two narrow passes)."""
-    key = _key(keys)
-    n_ranges = -(-n_rows // rows_per_task)
-    wanted = n_ranges * SAMPLES_PER_RANGE
-    picked = df.select(key.alias("key")).sample(min(1.0, wanted / max(n_rows, 1)), seed=7)
-    # The sample is about `wanted` rows, a number set by the range count.
-    sample = picked.orderBy("key").select(_as_json(F.col("key")).alias("json")).collect()
-    step = max(1, len(sample) // n_ranges)
-    bounds = [row["json"] for row in sample[step::step]] or [sample[0]["json"]] if sample else []
-    key_type = picked.schema["key"].dataType
-    number = _range_number(key, bounds, key_type) if bounds else F.lit(0)
-    counted = df.groupBy(number.alias("range")).count().collect()
-    return Ranges(number, {row["range"]: row["count"] for row in counted})
-
-
 def row_numbers(
     df: DataFrame,
     name: str,
@@ -114,16 +45,32 @@ def row_numbers(
     n_rows: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add ``name``: 1, 2, 3, … over all rows in key order."""
+    """Add ``name``: 1, 2, 3, … over all rows in key order.
+
+    ``n_rows`` may be an upper bound of the row count; it is counted if absent.
+    """
     n_rows = df.count() if n_rows is None else n_rows
     if n_rows <= rows_per_task:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*keys)).cast("bigint"))
-    df = materialise(df, "ranked")
-    ranges = split_ranges(df, keys, n_rows, rows_per_task)
-    lower = F.element_at(F.lit(ranges.offsets()), F.col("_range") + 1)
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
-    numbered = df.withColumn("_range", ranges.number)
-    return numbered.withColumn(name, (inside + lower).cast("bigint")).drop("_range")
+    parts = -(-n_rows // rows_per_task)
+    placed = materialise(
+        df.repartitionByRange(parts, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "ranked",
+    )
+    part = F.shiftright("_at", _PLACE_BITS).cast("int")
+    place = F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    # One row per partition comes back.
+    sizes = {
+        r["part"]: r["rows"]
+        for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    }
+    before = [0]
+    for i in range(max(sizes, default=0)):
+        before.append(before[-1] + sizes.get(i, 0))
+    number = place + 1 + F.element_at(F.lit(before).cast("array<bigint>"), part + 1)
+    return placed.withColumn(name, number).drop("_at")
 
 
 def tile_ends(n_rows: int, tiles: int) -> list[int]:
@@ -136,30 +83,21 @@ def tile_ends(n_rows: int, tiles: int) -> list[int]:
     return ends
 
 
-def _keys_at(df: DataFrame, keys: list[Column], ranks: list[int], ranges: Ranges) -> list[str]:
-    """The keys at the given ranks, reading only the ranges that hold them."""
-    offsets = ranges.offsets()
-    places: dict[int, list[int]] = {}
-    for rank in ranks:
-        number = max(i for i, low in enumerate(offsets) if low < rank and ranges.sizes.get(i, 0))
-        places.setdefault(number, []).append(rank - offsets[number])
-    key = _key(keys)
-    inside = F.row_number().over(Window.partitionBy("range").orderBy("key"))
-    rows = (
-        df.select(key.alias("key"), ranges.number.alias("range"))
-        .filter(F.col("range").isin(list(places)))
-        .withColumn("inside", inside)
+def _keys_at(df: DataFrame, keys: list[Column], ranks: list[int], n_rows: int, rows_per_task: int) -> list[Column]:
+    """Literals of the keys at the given ranks."""
+    named = [k.alias(f"k{i}") for i, k in enumerate(keys)]
+    narrow = df.select(*named)
+    columns = [F.col(c) for c in narrow.columns]
+    ranked = row_numbers(narrow, "rank", columns, n_rows, rows_per_task)
+    # At most one row per tile boundary comes back, as text to keep its exact value.
+    options = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    found = (
+        ranked.filter(F.col("rank").isin(ranks)).orderBy("rank")
+        .select(F.to_json(F.struct(*columns), options).alias("key")).collect()
     )
-    wanted = F.lit(False)
-    for number, positions in places.items():
-        wanted = wanted | ((F.col("range") == number) & F.col("inside").isin(positions))
-    # At most one row per tile boundary comes back.
-    found = rows.filter(wanted).orderBy("key").select(_as_json(F.col("key")).alias("json")).collect()
-    return [row["json"] for row in found]
-
-
-def _passed(cuts: Column, key: Column) -> Column:
-    return F.size(F.filter(cuts, lambda c: c < key))
+    schema = StructType(narrow.schema.fields)
+    return [F.from_json(F.lit(r["key"]), schema, options) for r in found]
 
 
 def tiles(
@@ -171,21 +109,22 @@ def tiles(
 ) -> DataFrame:
     """Add one ``NTILE(n_tiles)`` column per entry of ``specs`` (name → keys).
 
-    Beyond ``rows_per_task`` rows nothing is sorted or shuffled as a whole:
-    only the ``n_tiles - 1`` boundary keys are located, and each row compares
-    its key with them.
+    ``n_rows`` is the exact row count. Beyond ``rows_per_task`` rows, only the
+    narrow keys are ranked to find the ``n_tiles - 1`` boundary keys; the wide
+    rows are not sorted, shuffled or joined back: each compares its own key
+    with the boundaries.
     """
     if n_rows <= rows_per_task:
         return df.withColumns(
             {name: F.ntile(n_tiles).over(Window.orderBy(*keys)) for name, keys in specs.items()}
         )
     df = materialise(df, "tiles")
+    ends = tile_ends(n_rows, n_tiles)
     labels = {}
     for name, keys in specs.items():
-        ends = [e for e in tile_ends(n_rows, n_tiles) if e > 0]
-        ranges = split_ranges(df, keys, n_rows, rows_per_task)
-        cuts = _keys_at(df, keys, ends, ranges)
-        key = _key(keys)
-        key_type = df.select(key.alias("key")).schema["key"].dataType
-        labels[name] = (_passed(_literal_keys(cuts, key_type), key) + 1).cast("int")
+        own = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+        label = F.lit(1)
+        for boundary in _keys_at(df, keys, ends, n_rows, rows_per_task):
+            label = label + (own > boundary).cast("int")
+        labels[name] = label
     return df.withColumns(labels)

@@ -11,17 +11,23 @@ def top(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+# Up to this k the planner keeps only k rows per group and task before the
+# exchange (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+
+
 def top_per_group(
     df: DataFrame, groups: list[str], order: list[Column], k: int, name: str = "position",
     salt: Column | None = None, salts: int = 32,
 ) -> DataFrame:
     """Best ``k`` rows per group, numbered.
 
-    With a ``salt`` the rows of a group are first reduced to ``k`` per part,
-    so a group with a third of all rows is spread over ``salts`` tasks. The
-    second step then sees at most ``k * salts`` rows per group and is exact.
+    Each task sends at most ``k`` rows per group, so a group with a third of
+    all rows does not gather in one task. Above :data:`GROUP_LIMIT` the planner
+    does not do this by itself; give a ``salt`` then, and the group is first
+    reduced in ``salts`` parts. Both ways are exact.
     """
-    if salt is not None:
+    if salt is not None and k > GROUP_LIMIT:
         part = F.pmod(F.xxhash64(salt), F.lit(salts)).alias("_part")
         parts = Window.partitionBy(*groups, "_part").orderBy(*order)
         df = (

@@ -160,8 +160,8 @@ def funnel_events(
         steps.append(F.when(taken, step))
     events = audience.select(
         who, F.col("preferred_channel").alias("channel"),
-        F.explode(F.array_compact(F.array(*steps))).alias("e"),
-    ).select("customer_id", "channel", "e.*")
+        F.explode_outer(F.array(*steps)).alias("e"),
+    ).filter(F.col("e").isNotNull()).select("customer_id", "channel", "e.*")
     digest = F.md5(F.concat_ws("|", F.lit(campaign_id), who.cast("string"), F.col("event_type")))
     events = events.withColumns({
         "event_id": F.concat(F.lit("S"), F.substring(digest, 1, 19)),

@@ -75,7 +75,7 @@ def row_scores(queries: list[tuple[str, list[tuple[str, float]]]], mean_length:
         score = F.aggregate(query["terms"], F.lit(0.0), lambda s, t: s + part(t))
         return F.struct(query["query"].alias("query"), score.alias("raw"))
 
-    return F.filter(F.transform(table, total), lambda r: r["raw"] > 0)
+    return F.transform(table, total)
 
 
 def bm25(
@@ -109,7 +109,8 @@ def bm25(
     found = scanned if where is None else scanned.filter(where)
     scored = (
         found.filter(F.size("hits") > 0)
-        .select(key, *attributes, F.explode(row_scores(weighted, mean_length)).alias("r"))
+        .select(key, *attributes, F.explode_outer(row_scores(weighted, mean_length)).alias("r"))
+        .filter(F.col("r.raw") > 0)
         .select(F.col("r.query").alias("query"), key, *attributes,
                 X.round_to(F.col("r.raw"), 6).alias("score"))
     )
@@ -160,11 +161,15 @@ def nearest(
     for start in range(0, len(queries), block):
         part = queries[start:start + block]
         table = F.array(*[
-            F.struct(F.lit(name).alias("query"), F.lit(values).alias("values")) for name, values in part
+            F.struct(
+                F.lit(name).alias("query"), F.lit(values).alias("values"),
+                F.lit(math.sqrt(sum(v * v for v in values))).alias("length"),
+            )
+            for name, values in part
         ])
         rows = vectors.select(key, as_doubles(F.col(vector)).alias("v"))
         rows = rows.select(key, "v", norm(F.col("v")).alias("length"), F.explode(table).alias("q"))
-        cosine = dot(F.col("v"), F.col("q.values")) / (F.col("length") * norm(F.col("q.values")))
+        cosine = dot(F.col("v"), F.col("q.values")) / (F.col("length") * F.col("q.length"))
         scored = rows.filter(F.col("length") > 0).select(
             F.col("q.query").alias("query"), key, X.round_to(cosine, 6).alias("score")
         )

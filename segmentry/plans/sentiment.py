@@ -61,17 +61,22 @@ def top_themes(
 ) -> DataFrame:
     """Most frequent words of positive and of negative reviews, per polarity.
 
-    Words are counted before they are shuffled, and the per-polarity top-k is
-    taken in parts first, as there are only two groups.
+    Words are counted before they are shuffled, and each task hands on only its
+    best ``k`` per polarity, as there are only two groups.
     """
-    words = reviews.withColumn("words", T.tokens(F.col("review_text")))
-    score = T.polarity(
-        T.count_in(F.col("words"), positive), T.count_in(F.col("words"), negative)
+    # Step by step, and without a filter before the words are unfolded: a filter
+    # on the label would be pushed down and split every text again.
+    words = reviews.select(T.tokens(F.col("review_text")).alias("words"))
+    counted = words.select(
+        "words",
+        T.count_in(F.col("words"), positive).alias("p"), T.count_in(F.col("words"), negative).alias("n"),
     )
-    labelled = words.select(polarity_label(X.round_to(score, 4)).alias("polarity"), "words")
-    tokens = labelled.filter(F.col("polarity").isin("positive", "negative")).select(
-        "polarity",
-        F.explode(F.filter("words", lambda w: F.length(w) >= min_length)).alias("theme"),
+    scored = counted.select("words", X.round_to(T.polarity(F.col("p"), F.col("n")), 4).alias("sentiment"))
+    labelled = scored.select("words", polarity_label(F.col("sentiment")).alias("polarity"))
+    long = F.filter("words", lambda w: F.length(w) >= min_length)
+    kept = F.when(F.col("polarity").isin("positive", "negative"), long)
+    tokens = labelled.select("polarity", F.explode_outer(kept).alias("theme")).filter(
+        F.col("theme").isNotNull()
     )
     counts = tokens.groupBy("polarity", "theme").agg(F.count(F.lit(1)).alias("mentions"))
     return top_per_group(
