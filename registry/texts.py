@@ -13,7 +13,7 @@ from segmentry.functions import exprs as X
 from segmentry.plans import search, sentiment, templates, writeback
 from segmentry.sources import bindings, seeds
 from segmentry.sources.schemas import AUDIENCES
-from segmentry.sources.storage import new_path
+from segmentry.sources.storage import Tables, new_path
 from segmentry.streaming import outbox, weekly
 
 LIBRARY_QUERIES = {
@@ -62,6 +62,17 @@ def search_filtered(d: Data):
     )
 
 
+def built_index(d: Data) -> search.SearchIndex:
+    docs = bindings.documents(d.spark, d.dir)
+    return search.SearchIndex.build(Tables(d.spark), docs, "doc_id", F.col("text"), ["lang", "source"])
+
+
+@query("search_index", "WITH " + bm25_sql("documents", "doc_id", LIBRARY_QUERIES, attributes="lang source"))
+def search_index(d: Data):
+    """The same answers from a written index."""
+    return built_index(d).search(LIBRARY_QUERIES, attributes=["lang", "source"])
+
+
 @query("search_document", """SELECT doc_id, md5(COALESCE(source, '') || ' ' || COALESCE(text, '') || ' '
   || COALESCE(CAST(quality AS VARCHAR), '') || ' ' || COALESCE(lang, '')) AS digest
 FROM documents LEFT JOIN labels USING (doc_id)""")

@@ -87,12 +87,12 @@ class MetricsLayer:
     def joined(self) -> DataFrame:
         """Every customer with the segment of its three keys, NULL where there is none.
 
-        Segments are capped at 22 rows by their own definition, so they are broadcast.
+        The planner broadcasts the segments on the evidence of their size.
         """
         side = self.segments.select(
             *SEGMENT_KEYS, "segment_id", "segment_name", "total_revenue_opportunity", "intent_score"
         )
-        return self.profiles.join(F.broadcast(side), SEGMENT_KEYS, "left")
+        return self.profiles.join(side, SEGMENT_KEYS, "left")
 
     def query(
         self,

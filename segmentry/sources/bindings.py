@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from segmentry.functions import exprs as X
 from segmentry.sources import seeds
@@ -19,8 +20,16 @@ AS_OF = datetime(2001, 8, 2)
 EVENTS_AS_OF = datetime(2024, 1, 31)
 
 
+# Schemas of files already seen. The test tables are read-only, so a file is
+# opened for its schema once and not once per query.
+_schemas: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def tier_rule(spend: Column, values: list[str]) -> Column:

@@ -164,3 +164,18 @@ def test_seed_tables(spark):
     assert seeds.loyalty_tiers(spark).count() == 4
     assert seeds.product_categories(spark).count() == 12
     assert seeds.channel_templates(spark).schema["max_length"].dataType.simpleString() == "bigint"
+
+
+def test_active_days_with_hot_customer_and_days_after_the_clock(spark):
+    """One customer has a third of all events; some events are dated in the future."""
+    data = [(0 if i % 3 == 0 else i % 50, AS_OF + timedelta(days=20 - (i * 37) % 380, hours=i % 24)) for i in range(6000)]
+    events = spark.createDataFrame(data, "customer_id bigint, event_timestamp timestamp_ntz").withColumns({
+        "event_type": F.lit("search"), "event_properties": F.lit("{}")})
+    start = AS_OF.replace(year=AS_OF.year - 1)
+    want = {}
+    for customer, moment in data:
+        if moment >= start:
+            want.setdefault(customer, set()).add(moment.date())
+    got = profile.event_metrics(events, AS_OF).collect()
+    assert {r.customer_id: r.active_days_12m for r in got} == {c: len(d) for c, d in want.items()}
+    assert max(len(d) for d in want.values()) > 300

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from segmentry.plans import search, sentiment, templates
 from segmentry.sources import bindings, seeds
+from segmentry.sources.storage import Tables
 
 # A third of the texts are copies, one is far longer than the others.
 TEXTS = [(i, "Trail shoe, light. TRAIL!" if i % 3 == 0 else f"word{i % 5} shoe number {i}", "en" if i % 2 else "de") for i in range(30)]
@@ -66,6 +67,14 @@ def test_filter_restricts_results_but_not_statistics(docs):
     assert {q: v for q, v in brute_bm25(queries, lambda lang: lang == "de", 50).items()} == got
 
 
+def test_index_gives_the_same_answers(spark, docs, tmp_path):
+    index = search.SearchIndex.build(Tables(spark, str(tmp_path)), docs, "doc_id", F.col("text"), ["lang"])
+    queries = {"a": ["trail", "shoe"], "b": ["Élan", "word1"]}
+    assert brute_bm25({q: [t.lower() for t in ts] for q, ts in queries.items()}) == ranking(index.search(queries))
+    german = ranking(index.search({"a": ["trail", "shoe"]}, k=50, where=F.col("lang") == "de", attributes=["lang"]))
+    assert brute_bm25({"a": ["trail", "shoe"]}, lambda lang: lang == "de", 50) == german
+
+
 def test_nearest_against_brute_force(spark):
     vectors = [(i, [math.sin(i * (j + 1)) for j in range(8)] if i else [0.0] * 8) for i in range(60)]
     df = spark.createDataFrame(vectors, "id bigint, v array<float>")
