@@ -1,4 +1,4 @@
-"""Registered pipelines: profile, segments, activation, write-back, performance, metrics."""
+"""Registered analyses: profile, segments, activation, write-back, performance, metrics."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from segmentry.plans import (
 )
 from segmentry.sources import bindings, seeds
 from segmentry.sources.bindings import AS_OF
-from segmentry.sources.schemas import ASSETS, AUDIENCES, BRIEFS
+from segmentry.sources.schemas import ASSETS, AUDIENCES, BRIEFS, CAMPAIGN_EVENTS
 from segmentry.sources.storage import Tables, new_path
 
 NOW = datetime(2001, 8, 2, 9, 30, 15)
@@ -177,11 +177,11 @@ ACTIVATE = with_("segments") + ", " + MEMBERS + ", " + PRIOR + ", " + STAGED
 
 def activated(d: Data) -> activation.Activation:
     return activation.activate_segment(
-        d.stored_profiles, d.segments, prior_audience(d), SEGMENT_ID, CAMPAIGN, NOW, n_rows=d.n_customers
+        d.stored_profiles, d.segments, prior_audience(d), SEGMENT_ID, CAMPAIGN, NOW
     )
 
 
-@query("activate_segment", ACTIVATE + f""" SELECT priority_rank AS audience_id, CAST(1 AS BIGINT) AS segment_id,
+@query("activate_segment", ACTIVATE + f""" SELECT priority_rank + (SELECT MAX(c_custkey) + 1 FROM customer WHERE c_custkey % 4 < 2) AS audience_id, CAST(1 AS BIGINT) AS segment_id,
   (SELECT segment_name FROM segments WHERE segment_id = 1) AS segment_name, customer_id, email,
   first_name, preferred_channel, '{CAMPAIGN}' AS campaign_name, CAST(NULL AS VARCHAR) AS campaign_content_id,
   priority_rank, 'pending' AS status, TIMESTAMP '2001-08-02 09:30:15' AS created_at,
@@ -275,9 +275,6 @@ def no_briefs(d: Data):
     return d.spark.createDataFrame([], BRIEFS.ddl())
 
 
-BRIEF_JSON = """json_object('x', 0)"""
-
-
 @query("save_briefs", with_("briefs_in") + """
 , first AS (SELECT *, given_id AS brief_id FROM briefs_in WHERE given_id IS NOT NULL)
 , kept AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY brief_id ORDER BY sequence DESC) AS rn FROM first) WHERE rn = 1)
@@ -316,6 +313,19 @@ def save_assets(d: Data):
     )
 
 
+@query("reset_state", """SELECT 'campaign_audiences' AS table_name, CAST(0 AS BIGINT) AS row_count UNION ALL SELECT 'campaign_briefs', 0
+UNION ALL SELECT 'content_assets', 0 UNION ALL SELECT 'campaign_events', COUNT(*) FROM orders""")
+def reset_state(d: Data):
+    """Clear what activation and write-back added; the delivery events of the source stay."""
+    tables = Tables(d.spark)
+    tables.overwrite("campaign_audiences", prior_audience(d))
+    tables.overwrite("campaign_briefs", writeback.save_briefs(no_briefs(d), bindings.brief_submissions(d.spark, d.dir), NOW))
+    tables.overwrite("content_assets", writeback.parsed_assets(bindings.asset_submissions(d.spark, d.dir), NOW))
+    own = CAMPAIGN_EVENTS.fill(d.campaign_events)
+    tables.overwrite("campaign_events", own.unionByName(CAMPAIGN_EVENTS.fill(funnel_events(d))))
+    return writeback.reset(tables)
+
+
 # ---- performance ------------------------------------------------------------
 
 @query("owned_metrics", with_("owned") + sel(OWNED, "owned"))

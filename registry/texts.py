@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from registry.base import Data, query
-from registry.pipelines import prior_audience
+from registry.analytics import prior_audience
 from registry.sql import cnt, mean, rnd, sel, tokens, with_
 from segmentry.functions import exprs as X
 from segmentry.plans import search, sentiment, templates, writeback

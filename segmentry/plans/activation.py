@@ -74,10 +74,19 @@ def activate_segment(
     """Stage the customers of a segment for a campaign; calling twice stages nobody twice.
 
     The profile already carries address and channel, so customers are not
-    joined again. The caller appends ``rows`` once.
+    joined again. ``n_rows`` is an upper bound of the staged rows; the size of
+    the segment is one, and is used when the segments carry it. The caller
+    appends ``rows`` once.
     """
     members = not_pending(segment_members(profiles, segments, segment_id), audiences, campaign_name)
-    chosen = segments.filter(F.col("segment_id") == segment_id).select("segment_id", "segment_name")
+    chosen = segments.filter(F.col("segment_id") == segment_id)
+    if n_rows is None and "customer_count" in segments.columns:
+        found = chosen.select("customer_count").first()
+        n_rows = found["customer_count"] if found else 0
+    of_segment = F.lit(segment_id).cast("bigint").alias("segment_id")
+    highest = audiences.agg(F.coalesce(F.max("audience_id"), F.lit(0)).alias("highest"))
+    chosen = chosen.select("segment_id", "segment_name")
+    head = chosen.join(highest.select("*", of_segment), "segment_id")  # one row
     staged = by_priority(
         members.select(
             "customer_id", "email", "first_name", "preferred_channel", "customer_health_score"
@@ -85,10 +94,10 @@ def activate_segment(
         n_rows, rows_per_task,
     )
     rows = AUDIENCES.fill(
-        staged.withColumn("segment_id", F.lit(segment_id).cast("bigint"))
-        .join(F.broadcast(chosen), "segment_id")  # one row: the id is unique
+        staged.select("*", of_segment)
+        .join(F.broadcast(head), "segment_id")
         .withColumns({
-            "audience_id": F.col("priority_rank"),
+            "audience_id": F.col("highest") + F.col("priority_rank"),
             "campaign_name": F.lit(campaign_name),
             "campaign_content_id": F.lit(content_id).cast("string"),
             "status": F.lit("pending"),
@@ -104,7 +113,6 @@ def activate_segment(
         .agg(F.count(F.lit(1)).alias("customers_staged"))
     )
     code = campaign_code(campaign_name, assets, content_id, profiles)
-    of_segment = F.lit(segment_id).cast("bigint").alias("segment_id")
     # Three frames of one row each.
     summary = (
         chosen.join(counted.select("*", of_segment), "segment_id")

@@ -120,8 +120,9 @@ def bm25(
 class SearchIndex:
     """A written index: built once per refresh, then asked many times.
 
-    Three tables: ``documents`` (key, attributes, length), ``postings`` (term,
-    key, length, count) and ``terms`` (term, number of documents). Postings are
+    Tables: ``documents`` (key, attributes, length), ``postings`` (term, key,
+    length, count), ``terms`` (term, number of documents) and ``corpus`` (one
+    row of totals). Postings are
     range-partitioned and sorted by term and key, so a query reads only the row
     groups of its own terms, and a term that most documents have is spread over
     several files.
@@ -136,9 +137,10 @@ class SearchIndex:
     ) -> SearchIndex:
         index = cls(tables, key)
         words = documents.select(key, *attributes, T.tokens(text).alias("_words"))
-        tables.overwrite(
+        stored = tables.overwrite(
             "documents", words.select(key, *attributes, F.size("_words").cast("bigint").alias("length"))
         )
+        tables.overwrite("corpus", corpus_stats(stored))
         unfolded = words.select(
             key, F.size("_words").cast("bigint").alias("length"), F.explode_outer("_words").alias("term")
         ).filter(F.col("term").isNotNull())
@@ -159,7 +161,7 @@ class SearchIndex:
         asked = [(name, term.lower()) for name, terms in queries.items() for term in terms]
         wanted = sorted({term for _, term in asked})
         documents = self.tables.read("documents")
-        totals = corpus_stats(documents).first()
+        totals = self.tables.read("corpus").first()
         known = self.tables.read("terms").filter(F.col("term").isin(wanted)).collect()
         weights = {r["term"]: idf(totals["n_docs"], r["df"]) for r in known}
         rows = [(name, term, weights[term]) for name, term in asked if term in weights]

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from segmentry.functions import exprs as X
 from segmentry.operators import dml
+from segmentry.plans.refresh import row_counts
 from segmentry.sources.schemas import ASSETS, BRIEFS
+from segmentry.sources.storage import Tables
 
 BRIEF_FIELDS = "brief_id string, status string, created_by string"
 ASSET_FIELDS = (
@@ -78,3 +80,16 @@ def parsed_assets(submissions: DataFrame, now: datetime) -> DataFrame:
 def save_assets(existing: DataFrame, submissions: DataFrame, now: datetime) -> DataFrame:
     """The asset table after the batch: saved assets are always added."""
     return existing.unionByName(parsed_assets(submissions, now))
+
+
+WRITTEN_BACK = ["campaign_audiences", "campaign_briefs", "content_assets"]
+SEEDED = "S"  # Fixed value: ids of events written by an activation start with it.
+
+
+def reset(tables: Tables) -> DataFrame:
+    """Empty the write-back tables, drop seeded delivery events, and count what is left."""
+    for name in WRITTEN_BACK:
+        tables.truncate(name)
+    events = tables.read("campaign_events")
+    tables.overwrite("campaign_events", dml.delete_where(events, F.col("event_id").startswith(SEEDED)))
+    return row_counts({n: tables.read(n) for n in [*WRITTEN_BACK, "campaign_events"]})

@@ -64,11 +64,12 @@ class Tables:
             raise KeyError(name)
         return f"{self.root}/{name}/v-{versions[-1]:06d}"
 
-    def overwrite(self, name: str, df: DataFrame) -> DataFrame:
+    def overwrite(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         versions = self._versions(name)
         version = versions[-1] + 1 if versions else 0
         # A version without its success mark is left over from a failed write.
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/v-{version:06d}")
+        writer = df.write.mode("overwrite").partitionBy(*partition_by or [])
+        writer.parquet(f"{self.root}/{name}/v-{version:06d}")
         return self.read(name, df.schema)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from segmentry.plans import profile, segments
 from segmentry.sources import bindings, seeds
+from segmentry.sources.storage import Tables
 from registry.base import Data
 from tests.conftest import rows
 
@@ -179,3 +180,12 @@ def test_active_days_with_hot_customer_and_days_after_the_clock(spark):
     got = profile.event_metrics(events, AS_OF).collect()
     assert {r.customer_id: r.active_days_12m for r in got} == {c: len(d) for c, d in want.items()}
     assert max(len(d) for d in want.values()) > 300
+
+
+def test_older_months_are_pruned(spark, sf_dir, tmp_path):
+    d = Data(spark, sf_dir)
+    stored = Tables(spark, str(tmp_path)).overwrite("events", profile.by_month(d.events), [profile.MONTH])
+    pruned = profile.event_metrics(stored, bindings.AS_OF)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in plan and "2000-08-01" in plan
+    assert rows(pruned) == rows(profile.event_metrics(d.events, bindings.AS_OF))
