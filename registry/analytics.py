@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from registry.base import Data, query
 from registry.sql import (
-    AS_OF as SQL_AS_OF, CHURN, RFM, bucket, cnt, cycle, mean, ratio, rnd, sel, with_,
+    RFM, bucket, cnt, mean, ratio, rnd, sel, with_,
 )
 from segmentry.functions import exprs as X
 from segmentry.operators import rank
@@ -82,9 +82,9 @@ def rfm_segment(d: Data):
     )
 
 
-@query("churn_tier", with_("c360") + f"""SELECT churn_risk_tier, COUNT(*) AS customers,
+@query("churn_tier", with_("c360") + """SELECT churn_risk_tier, COUNT(*) AS customers,
   MIN(days_since_last_purchase) AS min_days, MAX(days_since_last_purchase) AS max_days
-FROM (SELECT days_since_last_purchase, {CHURN} AS churn_risk_tier FROM c360) GROUP BY churn_risk_tier""")
+FROM c360 GROUP BY churn_risk_tier""")
 def churn_tier(d: Data):
     days = X.days_between(F.col("last_purchase_date"), X.day(AS_OF))
     joined = d.customers.select("customer_id").join(
@@ -338,47 +338,54 @@ def paid_metrics(d: Data):
     return performance.paid_metrics(d.paid_media)
 
 
-MEASURES = """COALESCE(om.sends, 0) AS sends, COALESCE(om.opens, 0) AS opens, COALESCE(om.clicks, 0) AS clicks,
-  COALESCE(om.conversions, 0) + COALESCE(pm.paid_conversions, 0) AS conversions,
-  CAST(COALESCE(om.owned_revenue, 0) + COALESCE(pm.paid_revenue, 0) AS DOUBLE) AS total_revenue,
-  CAST(COALESCE(pm.spend, 0) AS DOUBLE) AS paid_spend, COALESCE(pm.impressions, 0) AS impressions,
-  COALESCE(pm.avg_roas, 0) AS roas, COALESCE(pm.avg_cac, 0) AS cac"""
+# Both sides are stacked instead of joined in full: owned rows with their paid
+# partners, then the paid rows without one.
+PAIRED = """paired AS (
+SELECT o.campaign_id, o.period, o.channel, p.platform, o.campaign_name AS name, o.campaign_type, o.sends, o.opens, o.clicks,
+  o.conversions AS won, o.owned_revenue, p.impressions, p.paid_clicks, p.spend, p.paid_conversions, p.paid_revenue, p.avg_roas, p.avg_cac
+FROM owned o LEFT JOIN paidw p USING (campaign_id, period)
+UNION ALL
+SELECT p.campaign_id, p.period, NULL, p.platform, NULL, NULL, NULL, NULL, NULL, NULL, NULL, p.impressions, p.paid_clicks, p.spend,
+  p.paid_conversions, p.paid_revenue, p.avg_roas, p.avg_cac
+FROM paidw p WHERE NOT EXISTS (FROM owned o WHERE o.campaign_id = p.campaign_id AND o.period = p.period))"""
+MEASURES = (
+    "ifnull(sends, 0) AS sends, ifnull(opens, 0) AS opens, ifnull(clicks, 0) AS clicks, "
+    "ifnull(won, 0) + ifnull(paid_conversions, 0) AS conversions, "
+    "CAST(ifnull(owned_revenue, 0) + ifnull(paid_revenue, 0) AS DOUBLE) AS total_revenue, "
+    "CAST(ifnull(spend, 0) AS DOUBLE) AS paid_spend, ifnull(impressions, 0) AS impressions, "
+    "ifnull(avg_roas, 0) AS roas, ifnull(avg_cac, 0) AS cac"
+)
 RATE_COLUMNS = (f"CAST({ratio('opens', 'sends')} AS DOUBLE) AS email_open_rate, "
                 f"CAST({ratio('clicks', 'opens')} AS DOUBLE) AS ctr, "
                 f"CAST({ratio('conversions', 'sends')} AS DOUBLE) AS cvr")
 
 
-@query("perf_gold", with_("owned", "paidw") + f""", combined AS (
-SELECT COALESCE(om.campaign_id, pm.campaign_id) AS campaign_id,
-  COALESCE(om.campaign_name, om.campaign_id) AS campaign_name, om.campaign_type,
-  COALESCE(om.channel, pm.platform) AS channel, COALESCE(om.period, pm.period) AS period, {MEASURES}
-FROM owned om FULL OUTER JOIN paidw pm ON pm.campaign_id = om.campaign_id AND pm.period = om.period)
-SELECT *, {RATE_COLUMNS} FROM combined WHERE period IS NOT NULL""")
+@query("perf_gold", with_("owned", "paidw") + f""", {PAIRED}, shown AS (
+SELECT campaign_id, CASE WHEN sends IS NOT NULL THEN ifnull(name, campaign_id) END AS campaign_name, campaign_type,
+  ifnull(channel, platform) AS channel, period, {MEASURES} FROM paired WHERE period IS NOT NULL)
+SELECT *, {RATE_COLUMNS} FROM shown""")
 def perf_gold(d: Data):
     return performance.campaign_performance(owned_metrics(d), paid_metrics(d))
 
 
-@query("perf_gold_dedup", with_("owned", "paid") + f""", o AS (
-SELECT campaign_id, period, MAX(campaign_name) AS campaign_name, MAX(campaign_type) AS campaign_type,
-  CAST(SUM(sends) AS BIGINT) AS sends, CAST(SUM(opens) AS BIGINT) AS opens, CAST(SUM(clicks) AS BIGINT) AS clicks,
-  CAST(SUM(conversions) AS BIGINT) AS conversions, SUM(owned_revenue) AS owned_revenue
-FROM owned GROUP BY campaign_id, period), p AS (
-SELECT campaign_id, CAST(date_trunc('week', date) AS DATE) AS period,
+@query("perf_gold_dedup", with_("owned", "paid") + f""", keys AS (
+SELECT campaign_id, period FROM owned UNION SELECT campaign_id, CAST(date_trunc('week', date) AS DATE) FROM paid)
+, o AS (SELECT campaign_id, period, MAX(campaign_name) AS campaign_name, MAX(campaign_type) AS campaign_type,
+  {', '.join(f'CAST(SUM({c}) AS BIGINT) AS {c}' for c in ('sends', 'opens', 'clicks'))},
+  CAST(SUM(conversions) AS BIGINT) AS won, SUM(owned_revenue) AS owned_revenue FROM owned GROUP BY ALL)
+, p AS (SELECT campaign_id, CAST(date_trunc('week', date) AS DATE) AS period,
   CAST(SUM(impressions) AS BIGINT) AS impressions, SUM(spend) AS spend,
   CAST(SUM(conversions) AS BIGINT) AS paid_conversions, SUM(revenue) AS paid_revenue,
-  {mean('roas')} AS avg_roas, {mean('cac')} AS avg_cac
-FROM paid GROUP BY ALL), combined AS (
-SELECT COALESCE(om.campaign_id, pm.campaign_id) AS campaign_id, om.campaign_name, om.campaign_type,
-  COALESCE(om.period, pm.period) AS period, {MEASURES}
-FROM o om FULL OUTER JOIN p pm ON pm.campaign_id = om.campaign_id AND pm.period = om.period)
-SELECT *, {RATE_COLUMNS} FROM combined WHERE period IS NOT NULL""")
+  {mean('roas')} AS avg_roas, {mean('cac')} AS avg_cac FROM paid GROUP BY ALL)
+, shown AS (SELECT campaign_id, campaign_name, campaign_type, period, {MEASURES}
+  FROM keys LEFT JOIN o USING (campaign_id, period) LEFT JOIN p USING (campaign_id, period))
+SELECT *, {RATE_COLUMNS} FROM shown""")
 def perf_gold_dedup(d: Data):
     return performance.campaign_performance_by_week(d.campaign_events, d.library, d.paid_media)
 
 
-@query("join_full_outer", with_("owned", "paidw") + """SELECT COALESCE(om.campaign_id, pm.campaign_id) AS campaign_id,
-  COALESCE(om.period, pm.period) AS period, om.channel, pm.platform, om.sends, pm.paid_clicks
-FROM owned om FULL OUTER JOIN paidw pm ON pm.campaign_id = om.campaign_id AND pm.period = om.period""")
+@query("join_full_outer", with_("owned", "paidw") + f""", {PAIRED}
+SELECT campaign_id, period, channel, platform, sends, paid_clicks FROM paired""")
 def join_full_outer(d: Data):
     joined = performance.join_owned_paid(owned_metrics(d), paid_metrics(d))
     return joined.select("campaign_id", "period", "channel", "platform", "sends", "paid_clicks")

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from registry.base import Data, query
 from registry.sql import AS_OF as SQL_AS_OF
-from registry.sql import capped, cnt, cycle, mean, ratio, rnd, sel, tier, with_
+from registry.sql import cnt, cycle, ratio, rnd, with_
 from segmentry.functions import exprs as X
 from segmentry.operators import dml, rank
 from segmentry.operators.topk import top
 from segmentry.plans import performance, profile, refresh, segments
-from segmentry.sources import bindings, seeds
+from segmentry.sources import seeds
 from segmentry.sources.bindings import AS_OF
 from segmentry.sources.schemas import AUDIENCES
 from segmentry.sources.storage import Tables
@@ -425,9 +423,8 @@ def surrogate_key(d: Data):
     return numbered.select(F.concat(F.lit("STR-"), X.padded(F.col("id"), 9)).alias("store_id"), "p_partkey")
 
 
-@query("win_rank_expr", with_("seg_base") + """SELECT rfm_segment, churn_risk_tier, preferred_channel,
-  RANK() OVER (ORDER BY total_revenue_opportunity * 0.4 + avg_engagement_score * 0.35 + avg_ltv_annualized * 0.25 NULLS LAST)
-  AS intent_rank FROM seg_base""")
+@query("win_rank_expr", with_("seg_weight") + """SELECT rfm_segment, churn_risk_tier, preferred_channel,
+  1 + (SELECT COUNT(*) FROM seg_weight b WHERE b.w < a.w OR (a.w IS NULL AND b.w IS NOT NULL)) AS intent_rank FROM seg_weight a""")
 def win_rank_expr(d: Data):
     base = segments.segment_base(d.profiles, d.min_size)
     ordered = Window.orderBy(segments.intent_weight().asc_nulls_last())

@@ -73,17 +73,54 @@ def tokens(text: str) -> str:
     return TOKENS.format(text)
 
 
-RFM = """CASE WHEN r_score >= 4 AND f_score >= 4 THEN 'Champion'
-  WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal'
-  WHEN r_score >= 4 AND f_score < 3 THEN 'Recent'
-  WHEN r_score < 2 AND f_score >= 4 THEN 'At Risk'
-  WHEN r_score < 2 AND f_score < 2 THEN 'Dormant'
-  WHEN r_score >= 3 THEN 'Potential'
-  WHEN f_score >= 3 THEN 'Needs Attention'
-  ELSE 'New' END"""
-
-CHURN = """CASE WHEN days_since_last_purchase > 180 OR days_since_last_purchase IS NULL THEN 'High'
-  WHEN days_since_last_purchase > 90 THEN 'Medium' ELSE 'Low' END"""
+# Labels of the 25 pairs, rows r = 1…5, columns f = 1…5: the rule written out as a table.
+RFM_GRID = [
+    "Dormant", "New", "Needs Attention", "At Risk", "At Risk",
+    "New", "New", "Needs Attention", "Needs Attention", "Needs Attention",
+    "Potential", "Potential", "Loyal", "Loyal", "Loyal",
+    "Recent", "Recent", "Loyal", "Champion", "Champion",
+    "Recent", "Recent", "Loyal", "Champion", "Champion",
+]
+RFM = "([" + ", ".join(f"'{label}'" for label in RFM_GRID) + "])[CAST((r_score - 1) * 5 + f_score AS INTEGER)]"
+
+
+def churn(days: str) -> str:
+    return f"(['Low', 'Medium', 'High'])[1 + COALESCE(CAST({days} > 90 AS INTEGER) + CAST({days} > 180 AS INTEGER), 2)]"
+
+
+def counts(kinds: dict[str, str]) -> str:
+    return ", ".join(f"{cnt(f"event_type = '{kind}'")} AS {name}" for name, kind in kinds.items())
+
+
+BOUGHT = {
+    "purchase_count_12m": "purchase", "return_count_12m": "return",
+    "cart_add_count_12m": "add_to_cart", "wishlist_count_12m": "wishlist_add",
+}
+ENGAGED = {
+    "page_views_12m": "page_view", "search_count_12m": "search", "training_logs_12m": "training_log",
+    "goals_set_12m": "goal_set", "reviews_written_12m": "gear_review", "size_exchanges_12m": "size_exchange",
+}
+MAILED = {
+    "email_opens_12m": "open", "email_clicks_12m": "click", "campaign_conversions_12m": "convert",
+    "emails_received_12m": "send", "unsubscribes_12m": "unsubscribe",
+}
+DELIVERED = {
+    "sends": "send", "opens": "open", "clicks": "click", "conversions": "convert",
+    "bounces": "bounce", "unsubscribes": "unsubscribe",
+}
+SHOWN_AS_ZERO = [*BOUGHT, "total_spend_12m", "avg_order_value", *ENGAGED, "total_events_12m",
+                 "active_days_12m", *MAILED, "campaign_revenue_12m"]
+SCORE_WEIGHTS = {  # score → {column: weight}
+    "engagement": {"active_days_12m": "0.4", "training_logs_12m": "2.0", "goals_set_12m": "5.0",
+                   "reviews_written_12m": "3.0", "purchase_count_12m": "1.5"},
+    "health": {"r_score": "8.0", "f_score": "8.0", "m_score": "8.0", "active_days_12m": "0.3",
+               "training_logs_12m": "1.0"},
+}
+
+
+def weighted(score: str) -> str:
+    return " + ".join(f"{weight} * {z(column)}" for column, weight in SCORE_WEIGHTS[score].items())
+
 
 # name → (names it needs, text)
 BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -137,35 +174,20 @@ SELECT {cycle(seeds.CAMPAIGN_IDS, 'l_suppkey')} AS campaign_id, l_returnflag AS
   CAST(l_linenumber AS BIGINT) AS conversions, CAST(l_extendedprice AS DECIMAL(18,2)) AS revenue,
   CAST(l_tax * 100 AS DECIMAL(18,4)) AS roas, CAST(l_discount * 50 AS DECIMAL(18,4)) AS cac
 FROM lineitem"""),
-    "pm": (("ev12",), f"""
-SELECT customer_id, {cnt("event_type = 'purchase'")} AS purchase_count_12m,
-  SUM(CASE WHEN event_type = 'purchase' THEN amount ELSE 0 END) AS total_spend_12m,
-  CASE WHEN {cnt("event_type = 'purchase'")} > 0 THEN
-    CAST(SUM(CASE WHEN event_type = 'purchase' THEN amount END) AS DOUBLE)
-    / {cnt("event_type = 'purchase'")} END AS avg_order_value,
-  MAX(CASE WHEN event_type = 'purchase' THEN event_timestamp END) AS last_purchase_date,
-  MIN(CASE WHEN event_type = 'purchase' THEN event_timestamp END) AS first_purchase_date,
-  {cnt("event_type = 'return'")} AS return_count_12m,
-  {cnt("event_type = 'add_to_cart'")} AS cart_add_count_12m,
-  {cnt("event_type = 'wishlist_add'")} AS wishlist_count_12m
-FROM ev12 GROUP BY customer_id"""),
+    "spent": (("ev12",), """
+SELECT customer_id, SUM(amount) AS spend, COUNT(*) AS n, MIN(event_timestamp) AS first_purchase_date,
+  MAX(event_timestamp) AS last_purchase_date
+FROM ev12 WHERE event_type = 'purchase' GROUP BY customer_id"""),
+    "pm": (("ev12", "spent"), f"""
+SELECT k.*, COALESCE(spend, 0) AS total_spend_12m, CAST(spend AS DOUBLE) / n AS avg_order_value,
+  last_purchase_date, first_purchase_date
+FROM (SELECT customer_id, {counts(BOUGHT)} FROM ev12 GROUP BY customer_id) k LEFT JOIN spent USING (customer_id)"""),
     "em": (("ev12",), f"""
-SELECT customer_id, COUNT(*) AS total_events_12m, {cnt("event_type = 'page_view'")} AS page_views_12m,
-  {cnt("event_type = 'search'")} AS search_count_12m,
-  {cnt("event_type = 'training_log'")} AS training_logs_12m,
-  {cnt("event_type = 'goal_set'")} AS goals_set_12m,
-  {cnt("event_type = 'gear_review'")} AS reviews_written_12m,
-  {cnt("event_type = 'size_exchange'")} AS size_exchanges_12m,
-  COUNT(DISTINCT date_trunc('day', event_timestamp)) AS active_days_12m,
-  MAX(event_timestamp) AS last_activity_date
+SELECT customer_id, {counts(ENGAGED)}, COUNT(*) AS total_events_12m,
+  COUNT(DISTINCT CAST(event_timestamp AS DATE)) AS active_days_12m, MAX(event_timestamp) AS last_activity_date
 FROM ev12 GROUP BY customer_id"""),
     "cm": (("ce",), f"""
-SELECT customer_id, {cnt("event_type = 'open'")} AS email_opens_12m,
-  {cnt("event_type = 'click'")} AS email_clicks_12m,
-  {cnt("event_type = 'convert'")} AS campaign_conversions_12m,
-  SUM(COALESCE(revenue, 0)) AS campaign_revenue_12m,
-  {cnt("event_type = 'send'")} AS emails_received_12m,
-  {cnt("event_type = 'unsubscribe'")} AS unsubscribes_12m
+SELECT customer_id, {counts(MAILED)}, COALESCE(SUM(revenue), 0) AS campaign_revenue_12m
 FROM ce WHERE event_timestamp >= {AS_OF} - INTERVAL 1 YEAR GROUP BY customer_id"""),
     "rfm_base": (("customers", "pm"), f"""
 SELECT c.customer_id,
@@ -180,47 +202,29 @@ SELECT customer_id, days_since_purchase, frequency, monetary,
   NTILE(5) OVER (ORDER BY frequency, customer_id) AS f_score,
   NTILE(5) OVER (ORDER BY monetary, customer_id) AS m_score
 FROM rfm_base"""),
-    "c360": (("customers", "tiers", "pm", "em", "cm", "rfm"), f"""
-SELECT c.customer_id, c.first_name, c.last_name, c.email, c.phone, c.date_of_birth, c.gender,
-  year({TODAY}) - year(c.date_of_birth) AS age, c.city, c.state, c.region, c.zip_code,
-  c.signup_date, c.last_login_date, date_diff('day', c.signup_date, {TODAY}) AS tenure_days,
-  c.loyalty_tier_id, c.loyalty_tier_name, c.annual_spend, c.loyalty_points,
-  lt.discount_pct AS tier_discount_pct, c.preferred_channel, c.top_category, c.marketing_opt_in,
-  c.push_opt_in, c.sms_opt_in, c.nearest_store_id,
-  {z('pm.purchase_count_12m')} AS purchase_count_12m, {z('pm.total_spend_12m')} AS total_spend_12m,
-  {z('pm.avg_order_value')} AS avg_order_value, pm.last_purchase_date, pm.first_purchase_date,
-  date_diff('day', pm.last_purchase_date, {AS_OF}) AS days_since_last_purchase,
-  {z('pm.return_count_12m')} AS return_count_12m, {z('pm.cart_add_count_12m')} AS cart_add_count_12m,
-  {z('pm.wishlist_count_12m')} AS wishlist_count_12m, {z('em.total_events_12m')} AS total_events_12m,
-  {z('em.page_views_12m')} AS page_views_12m, {z('em.search_count_12m')} AS search_count_12m,
-  {z('em.training_logs_12m')} AS training_logs_12m, {z('em.goals_set_12m')} AS goals_set_12m,
-  {z('em.reviews_written_12m')} AS reviews_written_12m,
-  {z('em.size_exchanges_12m')} AS size_exchanges_12m, {z('em.active_days_12m')} AS active_days_12m,
-  em.last_activity_date, {z('cm.email_opens_12m')} AS email_opens_12m,
-  {z('cm.email_clicks_12m')} AS email_clicks_12m,
-  {z('cm.campaign_conversions_12m')} AS campaign_conversions_12m,
-  {z('cm.campaign_revenue_12m')} AS campaign_revenue_12m,
-  {z('cm.emails_received_12m')} AS emails_received_12m,
-  {z('cm.unsubscribes_12m')} AS unsubscribes_12m,
-  {ratio('cm.email_opens_12m', 'cm.emails_received_12m')} AS email_open_rate,
-  {ratio('cm.email_clicks_12m', 'cm.email_opens_12m')} AS email_click_rate,
-  {ratio('cm.campaign_conversions_12m', 'cm.emails_received_12m')} AS campaign_conversion_rate,
-  {ratio('pm.return_count_12m', 'pm.purchase_count_12m')} AS return_rate,
-  rfm.r_score, rfm.f_score, rfm.m_score,
-  {rnd('CAST(rfm.r_score + rfm.f_score + rfm.m_score AS DOUBLE) / 3.0', 2)} AS rfm_composite_score,
-  {RFM} AS rfm_segment, {CHURN.replace('days_since_last_purchase', f"date_diff('day', pm.last_purchase_date, {AS_OF})")} AS churn_risk_tier,
-  {capped(f"{z('em.active_days_12m')} * 0.4 + {z('em.training_logs_12m')} * 2.0 + {z('em.goals_set_12m')} * 5.0 + {z('em.reviews_written_12m')} * 3.0 + {z('pm.purchase_count_12m')} * 1.5")}
-    AS engagement_score,
-  {capped(f"COALESCE(date_diff('day', pm.last_purchase_date, {AS_OF}), 365) * 0.15 + GREATEST(0, 30 - {z('em.active_days_12m')}) * 0.5 + {z('pm.return_count_12m')} * 2.0")}
+    "wide": (("customers", "tiers", "pm", "em", "cm", "rfm"), f"""
+SELECT *, date_diff('day', last_purchase_date, {AS_OF}) AS days_since_last_purchase
+FROM customers LEFT JOIN (SELECT tier_id AS loyalty_tier_id, points_multiplier, discount_pct FROM tiers) USING (loyalty_tier_id)
+LEFT JOIN pm USING (customer_id) LEFT JOIN em USING (customer_id) LEFT JOIN cm USING (customer_id)
+LEFT JOIN rfm USING (customer_id)"""),
+    "c360": (("wide",), f"""
+SELECT * REPLACE ({', '.join(f'{z(c)} AS {c}' for c in SHOWN_AS_ZERO)}),
+  year({TODAY}) - year(date_of_birth) AS age, date_diff('day', signup_date, {TODAY}) AS tenure_days,
+  discount_pct AS tier_discount_pct,
+  {ratio('email_opens_12m', 'emails_received_12m')} AS email_open_rate,
+  {ratio('email_clicks_12m', 'email_opens_12m')} AS email_click_rate,
+  {ratio('campaign_conversions_12m', 'emails_received_12m')} AS campaign_conversion_rate,
+  {ratio('return_count_12m', 'purchase_count_12m')} AS return_rate,
+  {rnd('CAST(r_score + f_score + m_score AS DOUBLE) / 3.0', 2)} AS rfm_composite_score,
+  {RFM} AS rfm_segment, {churn('days_since_last_purchase')} AS churn_risk_tier,
+  {capped(weighted('engagement'))} AS engagement_score, {capped(weighted('health'))} AS customer_health_score,
+  {capped(f"0.15 * COALESCE(days_since_last_purchase, 365) + 2.0 * {z('return_count_12m')} + CASE WHEN {z('active_days_12m')} < 30 THEN 0.5 * (30 - {z('active_days_12m')}) ELSE 0 END")}
     AS churn_risk_score,
-  {rnd('COALESCE(pm.total_spend_12m, c.annual_spend * 0.5)', 2)} AS ltv_annualized,
-  {capped(f"(rfm.r_score + rfm.f_score + rfm.m_score) * 8.0 + {z('em.active_days_12m')} * 0.3 + {z('em.training_logs_12m')} * 1.0")}
-    AS customer_health_score,
-  {rnd("COALESCE(pm.avg_order_value, CASE WHEN pm.purchase_count_12m IS NOT NULL THEN CAST(c.annual_spend AS DOUBLE) / GREATEST(pm.purchase_count_12m, 1) END) * (CAST(lt.points_multiplier AS DOUBLE) * 2.5)", 2)}
-    AS revenue_opportunity_score
-FROM customers c LEFT JOIN tiers lt ON lt.tier_id = c.loyalty_tier_id
-LEFT JOIN pm ON pm.customer_id = c.customer_id LEFT JOIN em ON em.customer_id = c.customer_id
-LEFT JOIN cm ON cm.customer_id = c.customer_id LEFT JOIN rfm ON rfm.customer_id = c.customer_id"""),
+  {rnd('CASE WHEN total_events_12m IS NULL THEN annual_spend * 0.5 ELSE total_spend_12m END', 2)} AS ltv_annualized,
+  CASE WHEN total_events_12m IS NOT NULL THEN
+    {rnd('(CASE WHEN purchase_count_12m > 0 THEN avg_order_value ELSE CAST(annual_spend AS DOUBLE) END) * (CAST(points_multiplier AS DOUBLE) * 2.5)', 2)}
+  END AS revenue_opportunity_score
+FROM wide"""),
     "min_size": ((), "SELECT GREATEST(1, CAST(floor(count(*) * 0.004 + 0.5) AS BIGINT)) AS n FROM customer"),
     "seg_base": (("c360", "min_size"), f"""
 SELECT rfm_segment, churn_risk_tier, preferred_channel, COUNT(*) AS customer_count,
@@ -231,26 +235,24 @@ SELECT rfm_segment, churn_risk_tier, preferred_channel, COUNT(*) AS customer_cou
   SUM(revenue_opportunity_score) AS total_revenue_opportunity
 FROM c360 GROUP BY rfm_segment, churn_risk_tier, preferred_channel
 HAVING COUNT(*) >= (SELECT n FROM min_size)"""),
-    "seg_ranked": (("seg_base",), f"""
+    "seg_weight": (("seg_base",), """
+SELECT *, 0.25 * avg_ltv_annualized + 0.35 * avg_engagement_score + 0.4 * total_revenue_opportunity AS w FROM seg_base"""),
+    "seg_ranked": (("seg_weight",), f"""
 SELECT ROW_NUMBER() OVER (ORDER BY total_revenue_opportunity DESC NULLS FIRST,
     avg_engagement_score DESC NULLS FIRST, rfm_segment, churn_risk_tier, preferred_channel) AS segment_id,
-  rfm_segment || ' / ' || churn_risk_tier || ' Churn / ' || upper(preferred_channel) AS segment_name,
-  seg_base.*,
-  {rnd('''60.5 + CAST(RANK() OVER (ORDER BY total_revenue_opportunity * 0.4 + avg_engagement_score * 0.35
-    + avg_ltv_annualized * 0.25 NULLS LAST) - 1 AS DOUBLE) / NULLIF(COUNT(*) OVER () - 1, 0) * 22.4''', 1)} AS intent_score
-FROM seg_base"""),
+  concat(rfm_segment, ' / ', churn_risk_tier, ' Churn / ', upper(preferred_channel)) AS segment_name,
+  a.* EXCLUDE (w),
+  CASE WHEN (SELECT COUNT(*) FROM seg_weight) > 1 THEN
+    {rnd("""60.5 + CAST((SELECT COUNT(*) FROM seg_weight b WHERE b.w < a.w OR (a.w IS NULL AND b.w IS NOT NULL)) AS DOUBLE)
+      / ((SELECT COUNT(*) FROM seg_weight) - 1) * 22.4""", 1)} END AS intent_score
+FROM seg_weight a"""),
     "segments": (("seg_ranked",), """
 SELECT * FROM seg_ranked ORDER BY intent_score DESC NULLS FIRST, segment_id LIMIT 22"""),
     "owned": (("ce", "library"), f"""
-SELECT ce.campaign_id, cl.campaign_name, cl.campaign_type, ce.channel,
-  CAST(date_trunc('week', ce.event_timestamp) AS DATE) AS period,
-  {cnt("ce.event_type = 'send'")} AS sends, {cnt("ce.event_type = 'open'")} AS opens,
-  {cnt("ce.event_type = 'click'")} AS clicks, {cnt("ce.event_type = 'convert'")} AS conversions,
-  SUM(COALESCE(ce.revenue, 0)) AS owned_revenue, {cnt("ce.event_type = 'bounce'")} AS bounces,
-  {cnt("ce.event_type = 'unsubscribe'")} AS unsubscribes
-FROM ce LEFT JOIN library cl ON cl.campaign_id = ce.campaign_id
-GROUP BY ce.campaign_id, cl.campaign_name, cl.campaign_type, ce.channel,
-  CAST(date_trunc('week', ce.event_timestamp) AS DATE)"""),
+SELECT w.*, campaign_name, campaign_type FROM (
+  SELECT campaign_id, channel, CAST(date_trunc('week', event_timestamp) AS DATE) AS period, {counts(DELIVERED)},
+    COALESCE(SUM(revenue), 0) AS owned_revenue FROM ce GROUP BY ALL) w
+LEFT JOIN library USING (campaign_id)"""),
     "paidw": (("paid",), f"""
 SELECT campaign_id, platform, CAST(date_trunc('week', date) AS DATE) AS period,
   CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS paid_clicks,
