@@ -11,11 +11,10 @@ from registry.sql import (
     RFM, bucket, cnt, mean, ratio, rnd, sel, with_,
 )
 from segmentry.functions import exprs as X
-from segmentry.operators import rank
 from segmentry.plans import (
     activation, metrics, performance, profile, questions, refresh, segments, writeback,
 )
-from segmentry.sources import bindings, seeds
+from segmentry.sources import bindings
 from segmentry.sources.bindings import AS_OF
 from segmentry.sources.schemas import ASSETS, AUDIENCES, BRIEFS, CAMPAIGN_EVENTS
 from segmentry.sources.storage import Tables, new_path

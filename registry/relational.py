@@ -273,8 +273,7 @@ def join_inner(d: Data):
 
 def lookup(d: Data, values: list[str], name: str):
     """An inline list as a table of position and value."""
-    rows = d.spark.createDataFrame(list(enumerate(values)), f"idx bigint, {name} string")
-    return F.broadcast(rows)  # a list written in the source
+    return seeds.inline(d.spark, list(enumerate(values)), f"idx bigint, {name} string")
 
 
 @query("join_modulo_lookup", f"""SELECT event_type, device, COUNT(*) AS events FROM (
@@ -300,7 +299,7 @@ def join_string_key(d: Data):
     """Join on a key built as text; only the first ten categories have one."""
     built = F.concat(F.lit("CAT-0"), X.padded(F.col("p_partkey") % 10 + 1, 2))
     parts = d.table("part").select(built.alias("category_id"), F.col("p_retailprice").cast(X.MONEY).alias("price"))
-    named = parts.join(F.broadcast(seeds.product_categories(d.spark)), "category_id")
+    named = parts.join(seeds.product_categories(d.spark), "category_id")
     return named.groupBy("category_name").agg(n().alias("parts"), F.sum("price").alias("price"))
 
 
@@ -325,7 +324,7 @@ def join_left_dim(d: Data):
         F.col("tier_id").alias("loyalty_tier_id"), "tier_name", "discount_pct"
     )
     return d.customers.select("customer_id", "loyalty_tier_id").join(
-        F.broadcast(tiers), "loyalty_tier_id", "left"
+        tiers, "loyalty_tier_id", "left"
     ).select("customer_id", "tier_name", "discount_pct")
 
 
@@ -605,7 +604,7 @@ def array_explode(d: Data):
     ids = F.explode(F.from_json("micro_segment_ids", "array<bigint>"))
     unfolded = seeds.personas(d.spark).select("persona_name", ids.alias("segment_id"))
     found = segments.micro_segments(d.profiles, d.min_size)
-    return found.join(F.broadcast(unfolded), "segment_id").select(
+    return found.join(unfolded, "segment_id").select(
         "persona_name", "segment_id", "segment_name", "customer_count"
     )
 

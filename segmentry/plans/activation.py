@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from segmentry.functions import exprs as X
 from segmentry.operators import rank
-from segmentry.plans.segments import segment_members
+from segmentry.plans.segments import SEGMENT_KEYS
 from segmentry.sources.schemas import AUDIENCES, CAMPAIGN_EVENTS
 
 
@@ -28,13 +28,13 @@ def activation_rates(segments: DataFrame) -> DataFrame:
     )
 
 
-def campaign_code(name: str, assets: DataFrame | None, content_id: str | None, like: DataFrame) -> DataFrame:
-    """One row with the campaign id: the asset's campaign, else a code from the name."""
+def campaign_code(name: str, assets: DataFrame | None, content_id: str | None) -> Column:
+    """The campaign id: the linked asset's campaign, else a code from the name."""
     code = X.slug(F.lit(name))
     if assets is None or content_id is None:
-        return like.sparkSession.range(1).select(code.alias("campaign_id"))
-    own = assets.filter(F.col("asset_id") == content_id).agg(F.max("campaign_id").alias("own"))
-    return own.select(F.coalesce(F.col("own"), code).alias("campaign_id"))
+        return code
+    own = assets.filter(F.col("asset_id") == content_id).agg(F.max("campaign_id").alias("own")).first()
+    return F.coalesce(F.lit(own["own"]).cast("string"), code)
 
 
 def not_pending(members: DataFrame, audiences: DataFrame, campaign_name: str) -> DataFrame:
@@ -73,31 +73,31 @@ def activate_segment(
 ) -> Activation:
     """Stage the customers of a segment for a campaign; calling twice stages nobody twice.
 
-    The profile already carries address and channel, so customers are not
-    joined again. ``n_rows`` is an upper bound of the staged rows; the size of
-    the segment is one, and is used when the segments carry it. The caller
-    appends ``rows`` once.
+    The segment's row, the highest audience id and the asset's campaign are
+    read first: single values, which enter the plan as literals, so the segment
+    filter reaches the scan of the profiles. The profile already carries address
+    and channel, so customers are not joined again. ``n_rows`` is an upper bound
+    of the staged rows; by default the size of the segment. The caller appends
+    ``rows`` once.
     """
-    members = not_pending(segment_members(profiles, segments, segment_id), audiences, campaign_name)
-    chosen = segments.filter(F.col("segment_id") == segment_id)
-    if n_rows is None and "customer_count" in segments.columns:
-        found = chosen.select("customer_count").first()
-        n_rows = found["customer_count"] if found else 0
-    of_segment = F.lit(segment_id).cast("bigint").alias("segment_id")
-    highest = audiences.agg(F.coalesce(F.max("audience_id"), F.lit(0)).alias("highest"))
-    chosen = chosen.select("segment_id", "segment_name")
-    head = chosen.join(highest.select("*", of_segment), "segment_id")  # one row
+    segment = segments.filter(F.col("segment_id") == segment_id).first()
+    segment = segment.asDict() if segment else dict.fromkeys([*SEGMENT_KEYS, "segment_name"])
+    highest = audiences.agg(F.coalesce(F.max("audience_id"), F.lit(0)).alias("highest")).first()["highest"]
+    belongs = F.lit(True)
+    for key in SEGMENT_KEYS:
+        belongs = belongs & (F.col(key) == F.lit(segment[key]))
+    members = not_pending(profiles.filter(belongs), audiences, campaign_name)
     staged = by_priority(
         members.select(
             "customer_id", "email", "first_name", "preferred_channel", "customer_health_score"
         ),
-        n_rows, rows_per_task,
+        segment.get("customer_count") if n_rows is None else n_rows, rows_per_task,
     )
     rows = AUDIENCES.fill(
-        staged.select("*", of_segment)
-        .join(F.broadcast(head), "segment_id")
-        .withColumns({
-            "audience_id": F.col("highest") + F.col("priority_rank"),
+        staged.withColumns({
+            "audience_id": F.col("priority_rank") + F.lit(highest),
+            "segment_id": F.lit(segment_id),
+            "segment_name": F.lit(segment["segment_name"]).cast("string"),
             "campaign_name": F.lit(campaign_name),
             "campaign_content_id": F.lit(content_id).cast("string"),
             "status": F.lit("pending"),
@@ -108,21 +108,16 @@ def activate_segment(
         (F.col("segment_id") == segment_id) & (F.col("campaign_name") == campaign_name)
         & (F.col("status") == "pending")
     )
-    counted = (
+    summary = (
         rows.select("customer_id").unionByName(waiting.select("customer_id"))
         .agg(F.count(F.lit(1)).alias("customers_staged"))
-    )
-    code = campaign_code(campaign_name, assets, content_id, profiles)
-    # Three frames of one row each.
-    summary = (
-        chosen.join(counted.select("*", of_segment), "segment_id")
-        .join(code.select("*", of_segment), "segment_id")
-    ).select(
-        F.to_json(F.struct(
-            "customers_staged", "segment_id", "segment_name",
-            F.lit(campaign_name).alias("campaign_name"), "campaign_id",
+        .select(F.to_json(F.struct(
+            "customers_staged", F.lit(segment_id).alias("segment_id"),
+            F.lit(segment["segment_name"]).cast("string").alias("segment_name"),
+            F.lit(campaign_name).alias("campaign_name"),
+            campaign_code(campaign_name, assets, content_id).alias("campaign_id"),
             F.lit("success").alias("status"),
-        )).alias("result")
+        )).alias("result"))
     )
     return Activation(rows, summary)
 

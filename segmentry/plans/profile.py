@@ -284,8 +284,8 @@ def customer_360(
     """The 65-column profile, one row per customer.
 
     Both fact tables are aggregated to the customer before the joins, and all
-    joins share the customer id as key. The tier table has four rows and is
-    broadcast.
+    joins share the customer id as key. The tier table is inline, so the planner
+    knows its size and broadcasts it.
     """
     n_customers = customers.count() if n_customers is None else n_customers
     tiers = seeds.loyalty_tiers(customers.sparkSession).select(
@@ -296,7 +296,7 @@ def customer_360(
     wide = (
         customers.join(event_metrics(events, as_of), "customer_id", "left")
         .join(campaign_metrics(campaign_events, as_of), "customer_id", "left")
-        .join(F.broadcast(tiers), "loyalty_tier_id", "left")
+        .join(tiers, "loyalty_tier_id", "left")
         .withColumns(rfm_inputs(as_of))
     )
     scored = rfm_scores(wide, n_customers, rows_per_task)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from segmentry.functions import exprs as X
 from segmentry.functions import text as T
 from segmentry.operators.topk import top_per_group
+from segmentry.sources.seeds import inline
 from segmentry.sources.storage import Tables, materialise
 
 K1, B = 1.2, 0.75
@@ -165,7 +166,7 @@ class SearchIndex:
         known = self.tables.read("terms").filter(F.col("term").isin(wanted)).collect()
         weights = {r["term"]: idf(totals["n_docs"], r["df"]) for r in known}
         rows = [(name, term, weights[term]) for name, term in asked if term in weights]
-        table = documents.sparkSession.createDataFrame(rows, "query string, term string, idf double")
+        table = inline(documents.sparkSession, rows, "query string, term string, idf double")
         found = self.tables.read("postings").filter(F.col("term").isin(wanted))
         if where is not None:
             found = found.join(documents.filter(where).select(key), key, "left_semi")
@@ -173,9 +174,8 @@ class SearchIndex:
         penalty = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("length") / F.lit(mean_length))
         tf = F.col("tf").cast("double")
         weight = F.col("idf") * (tf * F.lit(K1 + 1)) / (tf + penalty)
-        # The query terms come from the caller, one row each.
         scored = (
-            found.join(F.broadcast(table), "term").groupBy("query", key)
+            found.join(table, "term").groupBy("query", key)
             .agg(X.round_to(F.sum(weight), 6).alias("score"))
         )
         best = top_per_group(scored, ["query"], [F.col("score").desc(), F.col(key)], k)

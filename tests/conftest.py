@@ -17,6 +17,7 @@ def spark():
     spark = session("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
+        "spark.sql.maxMetadataStringLength": "2000",
     })
     spark.sparkContext.setLogLevel("ERROR")
     yield spark

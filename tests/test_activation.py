@@ -6,7 +6,6 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from segmentry.functions import exprs as X
 from segmentry.plans import activation
 from segmentry.sources.schemas import ASSETS, AUDIENCES
 from tests.conftest import rows
@@ -114,3 +113,24 @@ def test_audience_schema_check(spark):
     found = AUDIENCES.violations(rows_).first().asDict()
     assert found["segment_name_null"] == 1 and found["segment_name_too_long"] == 1
     assert found["customer_id_null"] == 0 and rows_.first().status == "pending"
+
+
+def test_unknown_segment_stages_nobody(world):
+    profiles, segments, empty = world
+    assert activation.activate_segment(profiles, segments, empty, 99, "Summer", NOW).rows.count() == 0
+
+
+def test_segment_filter_reaches_the_scan(spark, world, tmp_path):
+    profiles, segments, empty = world
+    profiles.write.parquet(str(tmp_path / "p"))
+    got = activation.activate_segment(spark.read.parquet(str(tmp_path / "p")), segments, empty, 1, "Summer", NOW).rows
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(rfm_segment,Loyal)" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_ids_continue_after_the_highest(spark, world):
+    profiles, segments, _ = world
+    old = AUDIENCES.fill(spark.createDataFrame([(500, 9, "x", 1, "y")],
+                         "audience_id bigint, segment_id bigint, segment_name string, customer_id bigint, campaign_name string"))
+    got = activation.activate_segment(profiles, segments, old, 1, "Summer", NOW).rows
+    assert sorted(r.audience_id for r in got.collect()) == list(range(501, 531))
