@@ -91,6 +91,22 @@ def minutes_before(end: Column, minutes: Column) -> Column:
     return end - F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"), F.lit(0).cast("decimal(18,6)"))
 
 
+def utc_instant(moment: Column) -> Column:
+    """A timestamp without zone read as UTC, to the second, whatever the session's zone.
+
+    Watermarks need an instant; a plain cast would shift it by the session's zone.
+    """
+    days = F.datediff(moment, F.lit("1970-01-01").cast("date")).cast("bigint")
+    return F.timestamp_seconds(
+        days * 86400 + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    )
+
+
+def utc_date(instant: Column) -> Column:
+    """The UTC date of an instant."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
+
+
 def hash_bucket(key: Column, salt: str, buckets: int = 1000) -> Column:
     """A bucket in ``[0, buckets)`` that depends on the key and the salt only.
 

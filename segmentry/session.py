@@ -12,6 +12,14 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# For a large cluster: start wide, so that a shuffle partition of the largest
+# aggregation fits into executor memory; adaptive execution merges small ones.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def session(app: str = "segmentry", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the library's settings; the master is left to the cluster unless given."""

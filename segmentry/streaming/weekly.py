@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segmentry.functions import exprs as X
 from segmentry.sources.storage import new_path
 
 # Windows count from 1 January 1970, a Thursday; four days later is a Monday.
@@ -20,7 +21,7 @@ def weekly_counts(campaign_events: DataFrame, late_by: str = "30 days") -> DataF
     def of(kind: str):
         return F.count_if(F.col("event_type") == kind)
 
-    timed = campaign_events.withColumn("event_time", F.col("event_timestamp").cast("timestamp"))
+    timed = campaign_events.withColumn("event_time", X.utc_instant(F.col("event_timestamp")))
     return (
         timed.withWatermark("event_time", late_by)
         .groupBy(F.window("event_time", WEEK, startTime=MONDAY), "campaign_id", "channel")
@@ -29,7 +30,7 @@ def weekly_counts(campaign_events: DataFrame, late_by: str = "30 days") -> DataF
             of("convert").alias("conversions"),
         )
         .select(
-            F.to_date("window.start").alias("period"), "campaign_id", "channel",
+            X.utc_date(F.col("window.start")).alias("period"), "campaign_id", "channel",
             "sends", "opens", "clicks", "conversions",
         )
     )

@@ -33,11 +33,20 @@ def test_weekly_counts_follow_the_batch_result(spark, tmp_path):
         assert rows(weekly.current(spark, state)) == batch_result(spark, source)
 
 
-def test_weeks_start_on_monday(spark, tmp_path):
+def test_weeks_start_on_monday_in_any_session_zone(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        check_weeks(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def check_weeks(spark, tmp_path):
     source, state = str(tmp_path / "events"), str(tmp_path / "state")
     write(spark, source, range(50))
     weekly.run(spark.readStream.schema(EVENT).parquet(source), state)
     assert {r.period.weekday() for r in weekly.current(spark, state).collect()} == {0}
+    assert rows(weekly.current(spark, state)) == batch_result(spark, source)
 
 
 def test_outbox_delivers_each_row_once(spark, tmp_path):
