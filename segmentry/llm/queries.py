@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmentry.llm import toxicity
+from segmentry.llm import minhash, toxicity
 from segmentry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,8 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"))
