@@ -34,7 +34,7 @@ WORD = re.compile(r"\w+")
 PREFIXES = (4, 5)
 # At most so many toxic and unlabelled training texts are fitted on. The
 # samples are drawn by a hash of the row over the whole table.
-MAX_POSITIVE, MAX_UNLABELLED = 4_000, 8_000
+MAX_POSITIVE, MAX_UNLABELLED = 3_000, 6_000
 # At most so many features, those whose rates differ most between the samples,
 # by so many standard errors at least.
 N_FEATURES = 256
@@ -91,14 +91,15 @@ def sampled(df: DataFrame, most: int) -> DataFrame:
 
 
 def hashed(df: DataFrame) -> list[np.ndarray]:
-    """Feature hashes of every text of a bounded sample."""
+    """Feature hashes of every text of a bounded sample, brought to the driver."""
 
     @F.pandas_udf(ArrayType(LongType()))
     def of(batch: pd.Series) -> pd.Series:
         return pd.Series([sorted({f for w in words(t) for f in features(w)}) for t in batch])
 
-    # Bounded by the sample size.
-    return [np.asarray(x, dtype=np.int64) for x in df.select(of("text").alias("f")).toPandas()["f"]]
+    rows = df.select(of("text").alias("f")).toArrow().column("f").chunks
+    return [np.asarray(x, dtype=np.uint32) for c in rows
+            for x in np.split(c.flatten().to_numpy(), np.cumsum(np.diff(c.offsets.to_numpy()))[:-1])]
 
 
 def matrix(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
@@ -112,14 +113,18 @@ def matrix(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
 
 def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int) -> np.ndarray:
     """The ``n`` features whose rates in the two samples differ most, in standard errors."""
-    ids, at = np.unique(np.concatenate([*positive, *unlabelled]), return_inverse=True)
-    cut = sum(map(len, positive))
-    p = np.bincount(at[:cut], minlength=len(ids)) / len(positive)
-    u = np.bincount(at[cut:], minlength=len(ids)) / len(unlabelled)
-    texts_with = p * len(positive) + u * len(unlabelled)
-    mean = texts_with / (len(positive) + len(unlabelled))
+    p_ids, p_texts = np.unique(np.concatenate(positive), return_counts=True)
+    u_ids, u_texts = np.unique(np.concatenate(unlabelled), return_counts=True)
+    ids = np.union1d(p_ids[p_texts >= MIN_TEXTS], u_ids[u_texts >= MIN_TEXTS])
+
+    def counts(own: np.ndarray, texts_with: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(own, ids), len(own) - 1)
+        return np.where(own[at] == ids, texts_with[at], 0) if len(own) else np.zeros(len(ids))
+
+    p, u = counts(p_ids, p_texts) / len(positive), counts(u_ids, u_texts) / len(unlabelled)
+    mean = (p * len(positive) + u * len(unlabelled)) / (len(positive) + len(unlabelled))
     error = np.sqrt(np.maximum(mean * (1 - mean), 1e-9) * (1 / len(positive) + 1 / len(unlabelled)))
-    gap = np.where(texts_with >= MIN_TEXTS, np.abs(p - u) / error, -1)
+    gap = np.abs(p - u) / error
     best = np.lexsort((ids, -gap))[:n]
     return np.sort(ids[best[gap[best] >= MIN_GAP]])
 
