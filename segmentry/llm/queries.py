@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmentry.llm import bpe, decontaminate, minhash, pii, toxicity
+from segmentry.llm import bpe, decontaminate, minhash, pii, sharding, topk, toxicity
 from segmentry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,16 @@ def rank_file() -> str:
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), rank_file(), with_ids=False)
+
+
+@query
+def op9_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op2_topk"] = topk.SQL
