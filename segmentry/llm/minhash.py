@@ -140,13 +140,15 @@ def sign(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "doc_id bigint, key binary, bands array<bigint>, signature array<tinyint>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (u, v of text digests) whose texts are similar enough, compared on whole texts."""
-    pairs = materialise(pairs, "pairs")
-    wanted = pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct()
-    whole = texts(docs).select(F.unhex(F.md5("text")).alias("key"), "text").join(wanted, "key", "left_semi")
+def whole_texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, text) of the given digests, once each. The keys grow with the input and are never broadcast."""
+    whole = texts(docs).select(F.unhex(F.md5("text")).alias("key"), "text")
     # Copies have one digest; any of them will do.
-    whole = materialise(whole.dropDuplicates(["key"]), "texts")
+    return materialise(whole.join(keys.hint("merge"), "key", "left_semi").dropDuplicates(["key"]), "texts")
+
+
+def verified(pairs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v of text digests) whose texts are similar enough, compared on whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, kept = WordHashes(), {}
@@ -184,26 +186,30 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     nodes = materialise(
         signed.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"),
                                   F.first("signature").alias("signature"), F.count(F.lit(1)).alias("copies")), "nodes")
-    banded = nodes.select(F.explode("bands").alias("bucket"), "key", F.struct("first", "key").alias("node"))
+    banded = nodes.select(F.posexplode("bands").alias("place", "bucket"), "key", F.struct("first", "key").alias("node"))
     heads = banded.groupBy("bucket").agg(F.min("node.key").alias("low"), F.max("node.key").alias("high"),
                                          F.min("node").alias("head")).filter("low <> high")
-    shared = materialise(banded.select("bucket", "key").join(heads.select("bucket", F.col("head.key").alias("head")), "bucket"), "buckets")
+    shared = materialise(banded.select("bucket", "place", "key").join(heads.select("bucket", F.col("head.key").alias("head")), "bucket"), "buckets")
+    whole = whole_texts(docs, shared.select("key").distinct())
     links = verified(shared.filter("key <> head").select(F.col("head").alias("u"), F.col("key").alias("v")).distinct(),
-                     docs, similarity)
-    links = materialise(links.distinct(), "links")
+                     whole, similarity)
+    links = materialise(links, "links")
     found = components(links)
     # Texts of one bucket in different components: compared where the signatures allow a link.
-    placed = shared.select("bucket", "key").join(
+    placed = shared.select("bucket", "place", "key").join(
         found.select(F.col("node").alias("key"), "component"), "key", "left").withColumn(
         "component", F.coalesce("component", "key"))
     split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    rest = placed.join(split.select("bucket"), "bucket", "left_semi").join(nodes.select("key", "signature"), "key")
+    rest = placed.join(split.select("bucket"), "bucket", "left_semi").join(nodes.select("key", "signature", "bands"), "key")
     rest = materialise(rest, "rest")
-    left = rest.select("bucket", F.col("key").alias("u"), F.col("component").alias("cu"), F.col("signature").alias("su"))
-    right = rest.select("bucket", F.col("key").alias("v"), F.col("component").alias("cv"), F.col("signature").alias("sv"))
+    left = rest.select("bucket", "place", *[F.col(c).alias(f"u_{c}") for c in ("key", "component", "signature", "bands")])
+    right = rest.select("bucket", *[F.col(c).alias(f"v_{c}") for c in ("key", "component", "signature", "bands")])
     across = left.join(right, "bucket").filter(
-        (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & (agreement("su", "sv") >= POSSIBLE))
-    more = verified(across.select("u", "v").distinct(), docs, similarity)
+        (F.col("u_key") < F.col("v_key")) & (F.col("u_component") != F.col("v_component"))
+        # In their first common bucket only.
+        & ~F.arrays_overlap(F.slice("u_bands", F.lit(1), F.col("place")), F.slice("v_bands", F.lit(1), F.col("place")))
+        & (agreement("u_signature", "v_signature") >= POSSIBLE))
+    more = verified(across.select(F.col("u_key").alias("u"), F.col("v_key").alias("v")), whole, similarity)
     found = components(links.unionByName(more))
     named = nodes.select("key", "first", "copies").join(
         found.select(F.col("node").alias("key"), "component"), "key", "left").withColumn(
