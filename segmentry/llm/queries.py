@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmentry.llm import bpe, decontaminate, minhash, pii, sharding, topk, toxicity
+from segmentry.llm import bpe, decontaminate, language_model, minhash, pii, sharding, topk, toxicity
 from segmentry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_topk"] = topk.SQL
+
+
+@query
+def op3_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
