@@ -139,9 +139,9 @@ def observe(docs: DataFrame) -> DataFrame:
     types = {"kind": pa.string(), "row": pa.int64(), "doc_id": pa.int64(), "key": pa.binary(), "counts": pa.list_(pa.int64()), "spans": pa.string(),
              "entity": pa.string(), "term": pa.string(), "starts": pa.list_(pa.int32()), "ends": pa.list_(pa.int32()), "n": pa.int64()}
 
-    def _batch(n: int, **columns: list) -> pa.RecordBatch:
+    def _batch(rows: int, /, **columns: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in types.items()], list(types))
+            [pa.array(columns[c], t) if c in columns else pa.nulls(rows, t) for c, t in types.items()], list(types))
 
     keyed = texts(docs).withColumns({"key": F.unhex(F.md5("text")), "row": F.monotonically_increasing_id()})
     return keyed.mapInArrow(run, _ROW)
