@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmentry.llm import bpe, decontaminate, language_model, minhash, pii, sharding, topk, toxicity
+from segmentry.llm import bpe, decontaminate, language_model, licences, minhash, pii, repeats, sharding, topk, toxicity
 from segmentry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,13 @@ ORACLES["op2_topk"] = topk.SQL
 @query
 def op3_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.find(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
