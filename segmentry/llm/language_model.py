@@ -80,7 +80,7 @@ def tokenised(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
         ids, held, ends, flat, known = [], [], [], [], Numbers()
-        for batch in batches:
+        for batch in (b.slice(i, 1_000) for b in batches for i in range(0, b.num_rows, 1_000)):
             for doc_id, out, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held", "text")), strict=True):
                 words = tokens(text)
                 flat.append(np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words)))
@@ -253,6 +253,13 @@ class Model:
         return out + within[line]
 
 
+def each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one, as a row holds a whole batch of documents."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def unpacked(row: dict) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return row["words"].split(b" "), np.frombuffer(row["line"], "<i4").astype(np.int64), np.frombuffer(row["ends"], "<i4").astype(np.int64)
 
@@ -279,7 +286,7 @@ def train(batches: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     for number in range(rounds):
         def run(rows: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             sums, counts, any_ = np.zeros((2, size, OUTCOMES)), np.zeros((2, size)), False
-            for row in (r for batch in rows for r in batch.to_pylist()):
+            for row in each(rows):
                 words, line, ends = unpacked(row)
                 model.gradient(words, line, ends, np.repeat(~np.array(row["held"]), np.diff(ends, prepend=0)), sums, counts)
                 any_ = True
@@ -327,7 +334,7 @@ def score(docs: DataFrame) -> DataFrame:
     weight = float(np.log10(model.n + 0.5 * (model.v + 1)))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in rows for r in batch.to_pylist()):
+        for row in each(rows):
             words, line, ends = unpacked(row)
             # The totals came back by part of the vocabulary, each in the dictionary's order.
             part = (hashes(words) >> np.uint64(20)) % np.uint64(parts)
