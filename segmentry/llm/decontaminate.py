@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmentry.llm.common import WordHashes, grams, mixed, texts
@@ -250,18 +250,22 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
+def holds(matcher: Matcher, text: Column) -> Column:
+    """Whether a text holds an item of the block."""
+
+    @F.pandas_udf("boolean")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = np.zeros(len(batch), dtype=bool)
+            for at, *_ in matcher.find(batch.tolist()):
+                out[at] = True
+            yield pd.Series(out)
+
+    return found(text)
+
+
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, with their own columns."""
     for block in blocks(benchmark):
-        matcher = Matcher([t for _, t in block])
-
-        @F.pandas_udf("boolean")
-        def holds(batches: Iterator[pd.Series], matcher=matcher) -> Iterator[pd.Series]:
-            for batch in batches:
-                out = np.zeros(len(batch), dtype=bool)
-                for text, *_ in matcher.find(batch.tolist()):
-                    out[text] = True
-                yield pd.Series(out)
-
-        docs = docs.filter(~holds("text"))
+        docs = docs.filter(~holds(Matcher([t for _, t in block]), F.col("text")))
     return docs
