@@ -25,6 +25,7 @@ the first; rows without an id are treated alike and carry NULL.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -189,8 +190,11 @@ class Matcher:
                 # An exact match wins over all that overlap it.
                 if not found[text, item] or found[text, item][-1][2] <= start:
                     found[text, item].append((0, start, start + size))
-            for _, start, stop in found[text, item]:
-                own_starts = own_starts[(own_starts >= stop) | (own_starts + max(1, size - most) <= start)]
+            if exact := found[text, item]:
+                # The first exact match that ends after a start must begin after the shortest match from it.
+                after = np.searchsorted([stop for *_, stop in exact], own_starts, side="right")
+                begins = np.append([start for _, start, _ in exact], len(line) + size)
+                own_starts = own_starts[begins[after] >= own_starts + max(1, size - most)]
             for cut in range(0, len(own_starts), 2_000):
                 near = own_starts[cut : cut + 2_000, None] + np.arange(size + most)
                 windows = np.where(near < end, line[np.minimum(near, end - 1)], 0)
@@ -205,11 +209,13 @@ class Matcher:
                     if distance <= most and length:
                         found[text, item].append((distance, start, start + length))
         for (text, item), spans in found.items():
-            taken: list[tuple[int, int]] = []
+            starts, stops = [], []
             before = int(ends[text - 1]) if text else 0
             for distance, start, end in sorted(spans):
-                if all(end <= s or e <= start for s, e in taken):
-                    taken.append((start, end))
+                at = bisect_right(starts, start)
+                if (not at or stops[at - 1] <= start) and (at == len(starts) or end <= starts[at]):
+                    starts.insert(at, start)
+                    stops.insert(at, end)
                     yield text, item, start - before, end - before, distance
 
 
