@@ -106,13 +106,13 @@ def bands(signature: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.n
     return out
 
 
-def chunks(items: list[np.ndarray], most: int = 400_000) -> Iterator[list[int]]:
-    """Indices of non-empty items, cut where their sizes add up, which bounds the memory of a step."""
+def chunks(items: list[np.ndarray], most: int = 1_000_000) -> Iterator[list[int]]:
+    """Indices of non-empty items by size, cut where elements and darts add up, which bounds the memory of a step."""
     now, size = [], 0
-    for i, item in enumerate(items):
-        if len(item):
+    for i in sorted(range(len(items)), key=lambda i: len(items[i])):
+        if len(items[i]):
             now.append(i)
-            size += len(item) + COORDINATES
+            size += len(items[i]) + 10 * COORDINATES
             if size >= most:
                 yield now
                 now, size = [], 0
@@ -125,7 +125,7 @@ def sign(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in (b.slice(i, 2_000) for b in batches for i in range(0, b.num_rows, 2_000)):
             sets = [elements(t, hashes) for t in batch.column("text").to_pylist()]
             banded, short = [None] * len(sets), [None] * len(sets)
             for chosen in chunks(sets):
@@ -160,7 +160,7 @@ def verified(pairs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame
                 kept[key] = elements(text, hashes)
             return kept[key]
 
-        for batch in batches:
+        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
             u, v, a, b = (batch.column(c).to_pylist() for c in ("u", "v", "a", "b"))
             good = []
             for i in range(len(u)):
