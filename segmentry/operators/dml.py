@@ -15,10 +15,12 @@ from segmentry.operators import rank
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
     """Update ``update`` where the key exists, insert the whole row where it does not.
 
-    ``source`` has unique keys (see :func:`latest`). A matched row takes the
-    source's value even if that value is NULL.
+    The job fails if ``source`` repeats a key (see :func:`latest`). A matched row
+    takes the source's value even if that value is NULL.
     """
-    fresh = source.select(*keys, F.struct(*source.columns).alias("_new"))
+    fresh = source.groupBy(*keys).agg(F.first(F.struct(*source.columns)).alias("_new"), F.count(F.lit(1)).alias("_n"))
+    once = F.assert_true(F.col("_n") == 1, F.lit("the source of an upsert repeats a key")).isNull()
+    fresh = fresh.filter(once).drop("_n")
     kept = target.select(*keys, F.struct(*target.columns).alias("_old"))
     joined = kept.join(fresh, keys, "full")
     both = F.col("_old").isNotNull() & F.col("_new").isNotNull()
@@ -39,7 +41,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
 def latest(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """The last row per key. An aggregation, so copies of one key combine before the shuffle."""
     rest = [c for c in rows.columns if c not in keys]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    # A row without an order counts as earlier than any with one.
+    by = F.struct(order.isNotNull().alias("known"), order.alias("order"))
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_row"))
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
@@ -48,10 +52,7 @@ def delete_where(table: DataFrame, predicate: Column) -> DataFrame:
     return table.filter(~F.coalesce(predicate, F.lit(False)))
 
 
-def with_new_ids(
-    rows: DataFrame, name: str, order: list[Column], after: int = 0,
-    n_rows: int | None = None, rows_per_task: int = rank.ROWS_PER_TASK,
-) -> DataFrame:
+def with_new_ids(rows: DataFrame, name: str, order: list[Column], after: int = 0) -> DataFrame:
     """Number new rows from ``after + 1`` on, without a gap."""
-    numbered = rank.row_numbers(rows, name, order, n_rows, rows_per_task)
+    numbered = rank.row_numbers(rows, name, order)
     return numbered.withColumn(name, F.col(name) + F.lit(after))

@@ -3,8 +3,9 @@
 A window without ``PARTITION BY`` runs in a single task. Here the rows are
 range-partitioned by the sort keys and sorted inside each partition; a row's
 global rank is its place in its partition plus the number of rows in the lower
-partitions. The placed rows are written once, so the second pass sees the same
-partitions whatever happens to the executors.
+partitions. Those numbers are a table with one row for each partition, joined
+back; the number of partitions is a session setting. There is one form for
+every size.
 
 Keys are columns sorted ascending with NULLs first; use :func:`descending` and
 :func:`nulls_last` for other orders. The last key must be unique: ranks are
@@ -20,10 +21,6 @@ from pyspark.sql.types import StructType
 
 from segmentry.sources.storage import materialise
 
-# Up to this many rows a single window task is the better plan. The count is
-# always checked; beyond it the partitioned form takes over.
-ROWS_PER_TASK = 200_000
-
 # monotonically_increasing_id keeps the row's place in the low 33 bits.
 _PLACE_BITS = 33
 
@@ -38,93 +35,59 @@ def nulls_last(column: Column) -> Column:
     return F.struct(column.isNull().alias("absent"), column.alias("value"))
 
 
-def row_numbers(
-    df: DataFrame,
-    name: str,
-    keys: list[Column],
-    n_rows: int | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Add ``name``: 1, 2, 3, … over all rows in key order.
+def row_numbers(df: DataFrame, name: str, keys: list[Column], total: str | None = None, written: bool = False) -> DataFrame:
+    """Add ``name``: 1, 2, 3, … over all rows in key order; ``total`` names a column for the row count.
 
-    ``n_rows`` may be an upper bound of the row count; it is counted if absent.
+    The rows are written once before they are sampled for the ranges (unless
+    ``df`` is ``written`` already) and once in order, so that every pass sees the
+    same rows and partitions whatever happens to the executors.
     """
-    n_rows = df.count() if n_rows is None else n_rows
-    if n_rows <= rows_per_task:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*keys)).cast("bigint"))
-    parts = -(-n_rows // rows_per_task)
+    df = df if written else materialise(df, "unranked")
     placed = materialise(
-        df.repartitionByRange(parts, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_at", F.monotonically_increasing_id()),
-        "ranked",
-    )
-    part = F.shiftright("_at", _PLACE_BITS).cast("int")
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_at", _PLACE_BITS).alias("_part")
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
+    # A window over one row for each partition.
+    before = sizes.select(
+        "_part", (F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")).alias("_before"),
+        F.sum("_rows").over(Window.partitionBy()).alias("_total"))
     place = F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    # One row per partition comes back.
-    sizes = {
-        r["part"]: r["rows"]
-        for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    }
-    before = [0]
-    for i in range(max(sizes, default=0)):
-        before.append(before[-1] + sizes.get(i, 0))
-    number = place + 1 + F.element_at(F.lit(before).cast("array<bigint>"), part + 1)
-    return placed.withColumn(name, number).drop("_at")
-
-
-def tile_ends(n_rows: int, tiles: int) -> list[int]:
-    """Last rank of every tile but the last; the first tiles take the remainder."""
-    size, extra = divmod(n_rows, tiles)
-    ends, total = [], 0
-    for tile in range(1, tiles):
-        total += size + (1 if tile <= extra else 0)
-        ends.append(total)
-    return ends
-
-
-def _keys_at(df: DataFrame, keys: list[Column], ranks: list[int], n_rows: int, rows_per_task: int) -> list[Column]:
-    """Literals of the keys at the given ranks."""
-    named = [k.alias(f"k{i}") for i, k in enumerate(keys)]
-    narrow = df.select(*named)
+    counted = placed.select("*", part).join(before, "_part")
+    more = [F.col("_total").alias(total)] if total else []
+    return counted.select(*[F.col(f"`{c}`") for c in df.columns if c != name], (F.col("_before") + place + 1).alias(name), *more)
+
+
+def _boundaries(df: DataFrame, keys: list[Column], n_tiles: int) -> list[Column]:
+    """Literals of the keys of the last row of every tile but the last."""
+    narrow = df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
     columns = [F.col(c) for c in narrow.columns]
-    ranked = row_numbers(narrow, "rank", columns, n_rows, rows_per_task)
-    # At most one row per tile boundary comes back, as text to keep its exact value.
+    ranked = row_numbers(narrow, "rank", columns, total="total", written=True)
+    # The first tiles take the remainder: tile t ends at t * size + min(t, extra).
+    ends = F.array(*[F.expr(f"{t} * (total div {n_tiles}) + least({t}, total % {n_tiles})") for t in range(1, n_tiles)])
+    # At most one row per boundary comes back, as text to keep its exact value.
     options = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
     found = (
-        ranked.filter(F.col("rank").isin(ranks)).orderBy("rank")
+        ranked.filter(F.array_contains(ends, F.col("rank"))).orderBy("rank")
         .select(F.to_json(F.struct(*columns), options).alias("key")).collect()
     )
     schema = StructType(narrow.schema.fields)
     return [F.from_json(F.lit(r["key"]), schema, options) for r in found]
 
 
-def tiles(
-    df: DataFrame,
-    specs: dict[str, list[Column]],
-    n_tiles: int,
-    n_rows: int,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def tiles(df: DataFrame, specs: dict[str, list[Column]], n_tiles: int) -> DataFrame:
     """Add one ``NTILE(n_tiles)`` column per entry of ``specs`` (name → keys).
 
-    ``n_rows`` is the exact row count. Beyond ``rows_per_task`` rows, only the
-    narrow keys are ranked to find the ``n_tiles - 1`` boundary keys; the wide
-    rows are not sorted, shuffled or joined back: each compares its own key
-    with the boundaries.
+    Only the narrow keys are ranked, to find the ``n_tiles - 1`` boundary keys;
+    the wide rows are not sorted, shuffled or joined back: each compares its
+    own key with the boundaries.
     """
-    if n_rows <= rows_per_task:
-        return df.withColumns(
-            {name: F.ntile(n_tiles).over(Window.orderBy(*keys)) for name, keys in specs.items()}
-        )
     df = materialise(df, "tiles")
-    ends = tile_ends(n_rows, n_tiles)
     labels = {}
     for name, keys in specs.items():
         own = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
         label = F.lit(1)
-        for boundary in _keys_at(df, keys, ends, n_rows, rows_per_task):
+        for boundary in _boundaries(df, keys, n_tiles):
             label = label + (own > boundary).cast("int")
         labels[name] = label
     return df.withColumns(labels)

@@ -11,30 +11,23 @@ def top(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-# Up to this k the planner keeps only k rows per group and task before the
-# exchange (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
-
-
 def top_per_group(
     df: DataFrame, groups: list[str], order: list[Column], k: int, name: str = "position",
     salt: Column | None = None, salts: int = 32,
 ) -> DataFrame:
     """Best ``k`` rows per group, numbered.
 
-    Each task sends at most ``k`` rows per group, so a group with a third of
-    all rows does not gather in one task. Above :data:`GROUP_LIMIT` the planner
-    does not do this by itself; give a ``salt`` then, and the group is first
-    reduced in ``salts`` parts. Both ways are exact.
+    Each group is first reduced in ``salts`` parts, by the hash of ``salt`` (by
+    default of the whole row), then as a whole: for any ``k``, a group with a third
+    of all rows is spread over tasks.
     """
-    if salt is not None and k > GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(salt), F.lit(salts)).alias("_part")
-        parts = Window.partitionBy(*groups, "_part").orderBy(*order)
-        df = (
-            df.select("*", part)
-            .withColumn("_in_part", F.row_number().over(parts))
-            .filter(F.col("_in_part") <= k)
-            .drop("_part", "_in_part")
-        )
+    part = F.pmod(F.xxhash64(salt) if salt is not None else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
+    parts = Window.partitionBy(*groups, "_part").orderBy(*order)
+    reduced = (
+        df.select("*", part.alias("_part"))
+        .withColumn("_in_part", F.row_number().over(parts))
+        .filter(F.col("_in_part") <= k)
+        .drop("_part", "_in_part")
+    )
     best = Window.partitionBy(*groups).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(best)).filter(F.col(name) <= k)
+    return reduced.withColumn(name, F.row_number().over(best)).filter(F.col(name) <= k)
