@@ -135,7 +135,7 @@ def sentiment_rollup(d: Data):
 
 @query("top_themes", "WITH " + SCORED + """, t AS (SELECT CASE WHEN sentiment > 0.2 THEN 'positive' ELSE 'negative' END AS polarity,
   unnest(words) AS theme FROM scored WHERE sentiment > 0.2 OR sentiment < -0.2)
-, c AS (SELECT polarity, theme, COUNT(*) AS mentions FROM t WHERE length(theme) >= 4 GROUP BY polarity, theme)
+, c AS (SELECT polarity, theme, COUNT(*) AS mentions FROM t GROUP BY polarity, theme)
 SELECT polarity, theme, mentions, position FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY polarity ORDER BY mentions DESC, theme) AS position FROM c)
 WHERE position <= 10""")
 def top_themes(d: Data):
@@ -163,8 +163,8 @@ def template_check(d: Data):
   {cnt("event_type = 'send'")} AS sends, {cnt("event_type = 'open'")} AS opens, {cnt("event_type = 'click'")} AS clicks,
   {cnt("event_type = 'convert'")} AS conversions FROM ce GROUP BY 1, 2, 3""")
 def stream_weekly(d: Data):
-    schema = d.table("orders").schema
-    orders = d.spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(d.dir)
+    # A folder of part files, or one file: the file's folder is watched for its name then.
+    orders = weekly.arriving(d.spark, d.dir, "orders", d.table("orders").schema)
     return weekly.weekly_state(bindings.campaign_activity(orders))
 
 

@@ -57,7 +57,7 @@ def rollup(scored: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def top_themes(
-    reviews: DataFrame, positive: list[str], negative: list[str], k: int = 10, min_length: int = 4
+    reviews: DataFrame, positive: list[str], negative: list[str], k: int = 10
 ) -> DataFrame:
     """Most frequent words of positive and of negative reviews, per polarity.
 
@@ -73,8 +73,7 @@ def top_themes(
     )
     scored = counted.select("words", X.round_to(T.polarity(F.col("p"), F.col("n")), 4).alias("sentiment"))
     labelled = scored.select("words", polarity_label(F.col("sentiment")).alias("polarity"))
-    long = F.filter("words", lambda w: F.length(w) >= min_length)
-    kept = F.when(F.col("polarity").isin("positive", "negative"), long)
+    kept = F.when(F.col("polarity").isin("positive", "negative"), F.col("words"))
     tokens = labelled.select("polarity", F.explode_outer(kept).alias("theme")).filter(
         F.col("theme").isNotNull()
     )

@@ -2,63 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from segmentry.functions import exprs as X
 from segmentry.sources.storage import new_path
 
-# Windows count from 1 January 1970, a Thursday; four days later is a Monday.
-WEEK, MONDAY = "7 days", "4 days"
+KEYS = ["period", "campaign_id", "channel"]
+VALUES = ["sends", "opens", "clicks", "conversions"]
 
 
-def weekly_counts(campaign_events: DataFrame, late_by: str = "30 days") -> DataFrame:
-    """Counts per campaign, channel and week over a stream.
+def arriving(spark: SparkSession, folder: str, table: str, schema: StructType) -> DataFrame:
+    """A Parquet table as a stream, whether it is a folder of part files or one file.
 
-    State is one small row per open week and group; weeks are closed once the
-    watermark has passed them.
+    The source watches a folder: the table's own, and for a single file the one around it.
     """
+    reader = spark.readStream.schema(schema)
+    files = spark.read.parquet(f"{folder}/{table}.parquet").inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{table}.parquet"):
+        return reader.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+    return reader.parquet(f"{folder}/{table}.parquet")
+
+
+def weekly_counts(campaign_events: DataFrame) -> DataFrame:
+    """Counts per campaign, channel and week, of a batch of events."""
     def of(kind: str):
         return F.count_if(F.col("event_type") == kind)
 
-    timed = campaign_events.withColumn("event_time", X.utc_instant(F.col("event_timestamp")))
-    return (
-        timed.withWatermark("event_time", late_by)
-        .groupBy(F.window("event_time", WEEK, startTime=MONDAY), "campaign_id", "channel")
-        .agg(
-            of("send").alias("sends"), of("open").alias("opens"), of("click").alias("clicks"),
-            of("convert").alias("conversions"),
-        )
-        .select(
-            X.utc_date(F.col("window.start")).alias("period"), "campaign_id", "channel",
-            "sends", "opens", "clicks", "conversions",
-        )
+    week = F.trunc(F.to_date("event_timestamp"), "week")
+    return campaign_events.groupBy(week.alias("period"), "campaign_id", "channel").agg(
+        of("send").alias("sends"), of("open").alias("opens"), of("click").alias("clicks"),
+        of("convert").alias("conversions"),
     )
 
 
-def run(campaign_events: DataFrame, path: str, late_by: str = "30 days") -> None:
-    """Process what has arrived and write the changed weeks of each micro-batch.
+def run(campaign_events: DataFrame, path: str) -> None:
+    """Process what has arrived and write the counts of each micro-batch.
 
-    A batch overwrites its own folder, so a batch that is repeated after a
-    failure leaves one copy.
+    Counts add up over batches, so no state is kept, no week is ever closed
+    and events may come late by any time. A batch overwrites its own folder, so a
+    batch that is repeated after a failure leaves one copy.
     """
-    def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/weeks/batch={batch_id}")
+    def write(arrived: DataFrame, batch_id: int) -> None:
+        weekly_counts(arrived).write.mode("overwrite").parquet(f"{path}/weeks/batch={batch_id}")
 
     (
-        weekly_counts(campaign_events, late_by).writeStream.outputMode("update")
-        .option("checkpointLocation", f"{path}/checkpoint")
+        campaign_events.writeStream.option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
     )
 
 
-def current(spark, path: str) -> DataFrame:
-    """The newest state of every week."""
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of every week: the sums over all batches."""
     rows = spark.read.option("basePath", f"{path}/weeks").parquet(f"{path}/weeks")
-    keys = ["period", "campaign_id", "channel"]
-    values = ["sends", "opens", "clicks", "conversions"]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch")).alias("v"))
-    return newest.select(*keys, *[F.col(f"v.{v}").alias(v) for v in values])
+    return rows.groupBy(*KEYS).agg(*[F.sum(v).alias(v) for v in VALUES])
 
 
 def weekly_state(campaign_events: DataFrame) -> DataFrame:
