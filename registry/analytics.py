@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from hashlib import md5
 
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from segmentry.sources.storage import Tables, new_path
 
 NOW = datetime(2001, 8, 2, 9, 30, 15)
 CAMPAIGN = "Summer Trail Days"
+CAMPAIGN_ID = "SUMMER-TRAIL-DA-" + md5(CAMPAIGN.encode()).hexdigest()
 SEGMENT_ID = 1
 
 PM = ("customer_id purchase_count_12m total_spend_12m:d avg_order_value last_purchase_date "
@@ -69,7 +71,7 @@ RFM_COMPOSITE = rnd("CAST(r_score + f_score + m_score AS DOUBLE) / 3.0", 2)
   CAST(monetary AS DOUBLE) AS monetary, r_score, f_score, m_score,
   CAST({RFM_COMPOSITE} AS DOUBLE) AS rfm_composite_score FROM rfm""")
 def rfm_scores(d: Data):
-    return profile.rfm_scores(rfm_base(d), d.n_customers)
+    return profile.rfm_scores(rfm_base(d))
 
 
 @query("rfm_segment", with_("rfm") + f"SELECT customer_id, r_score, f_score, {RFM} AS rfm_segment FROM rfm")
@@ -157,13 +159,13 @@ def segment_members(d: Data):
 # ---- activation -------------------------------------------------------------
 
 def prior_audience(d: Data):
-    """An audience table with history: some customers wait, some were served."""
+    """An audience table with history: each customer waits, was served, or was held back."""
     number = F.col("customer_id")
-    rows = d.customers.filter(number % 4 < 2).select(
+    rows = d.customers.select(
         (number + 1).alias("audience_id"), F.lit(SEGMENT_ID).alias("segment_id"),
         F.lit("earlier").alias("segment_name"), "customer_id", "email", "first_name",
         "preferred_channel", F.lit(CAMPAIGN).alias("campaign_name"),
-        F.when(number % 4 == 0, "pending").otherwise("activated").alias("status"),
+        F.when(number % 4 == 0, "pending").when(number % 4 == 1, "activated").otherwise("suppressed").alias("status"),
     )
     return AUDIENCES.fill(rows)
 
@@ -180,7 +182,7 @@ def activated(d: Data) -> activation.Activation:
     )
 
 
-@query("activate_segment", ACTIVATE + f""" SELECT priority_rank + (SELECT MAX(c_custkey) + 1 FROM customer WHERE c_custkey % 4 < 2) AS audience_id, CAST(1 AS BIGINT) AS segment_id,
+@query("activate_segment", ACTIVATE + f""" SELECT priority_rank + (SELECT MAX(c_custkey) + 1 FROM customer) AS audience_id, CAST(1 AS BIGINT) AS segment_id,
   (SELECT segment_name FROM segments WHERE segment_id = 1) AS segment_name, customer_id, email,
   first_name, preferred_channel, '{CAMPAIGN}' AS campaign_name, CAST(NULL AS VARCHAR) AS campaign_content_id,
   priority_rank, 'pending' AS status, TIMESTAMP '2001-08-02 09:30:15' AS created_at,
@@ -191,7 +193,7 @@ def activate_segment(d: Data):
 
 @query("activation_summary", ACTIVATE + f""" SELECT '{{"customers_staged":' || CAST(
   (SELECT COUNT(*) FROM staged) + (SELECT COUNT(*) FROM prior) AS VARCHAR)
-  || ',"segment_id":1,"segment_name":"' || segment_name || '","campaign_name":"{CAMPAIGN}","campaign_id":"SUMMER-TRAIL-DA","status":"success"}}' AS result
+  || ',"segment_id":1,"segment_name":"' || segment_name || '","campaign_name":"{CAMPAIGN}","campaign_id":"{CAMPAIGN_ID}","status":"success"}}' AS result
 FROM segments WHERE segment_id = 1""")
 def activation_summary(d: Data):
     return activated(d).summary
@@ -214,7 +216,7 @@ def join_anti(d: Data):
 @query("priority_rank", with_("c360") + """SELECT customer_id,
   ROW_NUMBER() OVER (ORDER BY customer_health_score DESC, customer_id) AS priority_rank FROM c360""")
 def priority_rank(d: Data):
-    ranked = activation.by_priority(d.profiles.select("customer_id", "customer_health_score"), d.n_customers)
+    ranked = activation.by_priority(d.profiles.select("customer_id", "customer_health_score"))
     return ranked.select("customer_id", "priority_rank")
 
 
@@ -230,16 +232,14 @@ FUNNEL_SQL = " UNION ALL ".join(
 
 
 @query("funnel_events", with_("customers") + f"""
-SELECT 'S' || substr(md5('SUMMER-TRAIL-DA|' || CAST(customer_id AS VARCHAR) || '|' || event_type), 1, 19) AS event_id,
-  'SUMMER-TRAIL-DA' AS campaign_id, customer_id, event_type, event_timestamp, channel,
+SELECT 'S' || md5('{CAMPAIGN_ID}|' || CAST(customer_id AS VARCHAR) || '|' || event_type) AS event_id,
+  '{CAMPAIGN_ID}' AS campaign_id, customer_id, event_type, event_timestamp, channel,
   'mobile' AS device_type, revenue, CAST(NULL AS VARCHAR) AS promo_code_used,
   ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY customer_id) AS event_number
 FROM ({FUNNEL_SQL})""")
 def funnel_events(d: Data):
     audience = d.customers.select("customer_id", "preferred_channel")
-    return activation.funnel_events(
-        audience, "SUMMER-TRAIL-DA", RATES, NOW, n_rows=len(activation.FUNNEL) * d.n_customers
-    )
+    return activation.funnel_events(audience, CAMPAIGN_ID, RATES, NOW)
 
 
 @query("hash_sample", with_("customers") + f"""SELECT customer_id, {bucket('customer_id', 'open')} AS hash_bucket,
@@ -274,39 +274,44 @@ def no_briefs(d: Data):
     return d.spark.createDataFrame([], BRIEFS.ddl())
 
 
-@query("save_briefs", with_("briefs_in") + """
-, first AS (SELECT *, given_id AS brief_id FROM briefs_in WHERE given_id IS NOT NULL)
-, kept AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY brief_id ORDER BY sequence DESC) AS rn FROM first) WHERE rn = 1)
-, loose AS (SELECT campaign_id, status, created_by, objective, tone, COUNT(*) AS n FROM briefs_in
-    WHERE given_id IS NULL GROUP BY ALL)
-SELECT brief_id, campaign_id, COALESCE(status, 'draft') AS status, created_by,
-  CAST(TIMESTAMP '2001-08-02 09:30:15' AS TIMESTAMP) AS created_at, objective, tone FROM kept
-UNION ALL
-SELECT 'generated', campaign_id, COALESCE(status, 'draft'), created_by,
-  CAST(TIMESTAMP '2001-08-02 09:30:15' AS TIMESTAMP), objective, tone FROM loose""")
+SENT = "CAST(TIMESTAMP '2001-08-02 09:30:15' AS TIMESTAMP)"
+# The submissions as their JSON text enters the generated ids; the oracle builds the same text.
+BRIEF_TEXT = """'{' || concat_ws(',',
+  CASE WHEN given_id IS NOT NULL THEN '"brief_id":"' || given_id || '"' END,
+  CASE WHEN status IS NOT NULL THEN '"status":"' || status || '"' END,
+  '"created_by":' || to_json(created_by), '"persona_name":' || to_json(created_by), '"objective":' || to_json(objective),
+  CASE WHEN tone IS NOT NULL THEN '"tone":"' || tone || '"' END) || '}'"""
+
+
+@query("save_briefs", with_("briefs_in") + f"""
+, named AS (SELECT *, COALESCE(given_id, 'BRF-' || replace(campaign_id, 'CMP-', '') || '-093015-'
+    || md5(campaign_id || '|' || {BRIEF_TEXT} || '|' || CAST(sequence AS VARCHAR))) AS brief_id FROM briefs_in)
+, kept AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY brief_id ORDER BY sequence DESC) AS rn FROM named) WHERE rn = 1)
+SELECT brief_id, campaign_id, COALESCE(status, 'draft') AS status, created_by, {SENT} AS created_at, objective, tone FROM kept""")
 def save_briefs(d: Data):
     saved = writeback.save_briefs(no_briefs(d), bindings.brief_submissions(d.spark, d.dir), NOW)
-    generated = F.col("brief_id").rlike(r"^BRF-2025-\d{3}-093015-")
     return saved.select(
-        F.when(generated, "generated").otherwise(F.col("brief_id")).alias("brief_id"),
-        "campaign_id", "status", "created_by", "created_at",
+        "brief_id", "campaign_id", "status", "created_by", "created_at",
         F.get_json_object("brief_content", "$.objective").alias("objective"),
         F.get_json_object("brief_content", "$.tone").alias("tone"),
     )
 
 
 @query("save_assets", with_("assets_in") + """
-SELECT COALESCE(given_id, 'generated') AS asset_id, brief_id, campaign_id, asset_type, channel,
-  content_body, headline, CAST(NULL AS VARCHAR) AS cta,
+SELECT COALESCE(given_id, 'generated-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)) AS asset_id, brief_id,
+  campaign_id, asset_type, channel, content_body, headline, CAST(NULL AS VARCHAR) AS cta,
   COALESCE(approval_status, 'draft') AS approval_status,
   CAST(ROUND(CAST(score AS DECIMAL(18,6)), 0) AS DOUBLE) AS brand_voice_score,
   TIMESTAMP '2001-08-02 09:30:15' AS generated_at FROM assets_in""")
 def save_assets(d: Data):
     none = d.spark.createDataFrame([], ASSETS.ddl())
-    saved = writeback.save_assets(none, bindings.asset_submissions(d.spark, d.dir), NOW)
-    generated = F.col("asset_id").rlike(r"-093015-[0-9a-f]{12}$")
-    return saved.select(
-        F.when(generated, "generated").otherwise(F.col("asset_id")).alias("asset_id"),
+    sent = bindings.asset_submissions(d.spark, d.dir)
+    saved = writeback.save_assets(none, sent, NOW)
+    # Each generated id is traced to its one submission, which a merged or repeated id would break.
+    made = writeback.generated_asset_id(F.get_json_object("asset_json", "$.channel"), NOW)
+    names = sent.select(made.alias("asset_id"), F.format_string("generated-%d-%d", F.floor(F.col("sequence") / 1000), F.col("sequence") % 1000).alias("name"))
+    return saved.join(names, "asset_id", "left").select(
+        F.coalesce("name", "asset_id").alias("asset_id"),
         "brief_id", "campaign_id", "asset_type", "channel", "content_body", "headline", "cta",
         "approval_status", "brand_voice_score", "generated_at",
     )

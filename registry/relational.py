@@ -17,8 +17,6 @@ from segmentry.sources.bindings import AS_OF
 from segmentry.sources.schemas import AUDIENCES
 from segmentry.sources.storage import Tables
 
-# Small enough that the partitioned ranks below run even on the small test data.
-SPLIT_ROWS = 4_000
 
 
 def n() -> Column:
@@ -78,7 +76,7 @@ def flatten_struct(d: Data):
     return rows.groupBy("name").agg(n().alias("entries"), F.sum("size").alias("total_size"))
 
 
-STORE_TYPES = ["Flagship", "Standard", "Outlet", "Express"]
+STORE_TYPES = ["corner", "arcade", "depot", "kiosk"]
 
 
 @query("flatten_cross", f"""SELECT word, store_type, COUNT(*) AS stores
@@ -398,10 +396,9 @@ def agg_weekly(d: Data):
   NTILE(7) OVER (ORDER BY o_orderdate, o_orderkey) AS date_tile FROM orders""")
 def win_ntile(d: Data):
     orders = d.table("orders").select("o_orderkey", "o_totalprice", "o_orderdate")
-    rows = orders.count()
     key = F.col("o_orderkey")
-    priced = rank.tiles(orders, {"price_tile": [rank.descending(F.col("o_totalprice")), key]}, 5, rows, SPLIT_ROWS)
-    return rank.tiles(priced, {"date_tile": [F.col("o_orderdate"), key]}, 7, rows, SPLIT_ROWS).select(
+    priced = rank.tiles(orders, {"price_tile": [rank.descending(F.col("o_totalprice")), key]}, 5)
+    return rank.tiles(priced, {"date_tile": [F.col("o_orderdate"), key]}, 7).select(
         "o_orderkey", "price_tile", "date_tile"
     )
 
@@ -411,14 +408,14 @@ def win_row_number(d: Data):
     """Five priorities share all orders; the unique last key still splits them evenly."""
     keys = [F.col("o_orderpriority"), rank.descending(F.col("o_totalprice")), F.col("o_orderkey")]
     orders = d.table("orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return rank.row_numbers(orders, "position", keys, rows_per_task=SPLIT_ROWS).select("o_orderkey", "position")
+    return rank.row_numbers(orders, "position", keys).select("o_orderkey", "position")
 
 
 @query("surrogate_key", """SELECT 'STR-' || lpad(CAST(ROW_NUMBER() OVER (ORDER BY p_name, p_partkey) AS VARCHAR), 9, '0') AS store_id,
   p_partkey FROM part""")
 def surrogate_key(d: Data):
     parts = d.table("part").select("p_partkey", "p_name")
-    numbered = dml.with_new_ids(parts, "id", [F.col("p_name"), F.col("p_partkey")], rows_per_task=SPLIT_ROWS)
+    numbered = dml.with_new_ids(parts, "id", [F.col("p_name"), F.col("p_partkey")])
     return numbered.select(F.concat(F.lit("STR-"), X.padded(F.col("id"), 9)).alias("store_id"), "p_partkey")
 
 

@@ -132,23 +132,20 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "customers": ((), f"""
 SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
   split_part(c_name, '#', 2) AS last_name, lower(c_name) || '@example.com' AS email,
-  '(' || CAST(200 + c_custkey % 800 AS VARCHAR) || ') '
-    || lpad(CAST(c_custkey * 7 % 10000 AS VARCHAR), 4, '0') || '-'
-    || lpad(CAST(c_custkey * 13 % 10000 AS VARCHAR), 4, '0') AS phone,
-  {TODAY} - CAST(6570 + c_custkey * 31 % 11680 AS INTEGER) AS date_of_birth,
-  {cycle(seeds.GENDERS, 'c_custkey')} AS gender,
+  '+00 ' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || ' ' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS phone,
+  {TODAY} - 7300 - CAST(floor(abs(c_acctbal)) AS INTEGER) AS date_of_birth,
+  {cycle(seeds.GENDERS, 'length(c_mktsegment)')} AS gender,
   n_name AS city, right(n_name, 2) AS state,
-  lpad(CAST((c_custkey * 17 + 10000) % 90000 + 10000 AS VARCHAR), 5, '0') AS zip_code,
+  lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS zip_code,
   r_name AS region, {tier(0)} AS loyalty_tier_id, {tier(1)} AS loyalty_tier_name,
   CAST(c_acctbal AS DECIMAL(18,2)) AS annual_spend,
-  c_custkey * 37 % 15000 AS loyalty_points,
-  {cycle(seeds.PREFERRED_CHANNELS, 'c_custkey')} AS preferred_channel,
+  CAST(floor(GREATEST(c_acctbal, 0)) AS BIGINT) AS loyalty_points,
+  {cycle(seeds.PREFERRED_CHANNELS, 'c_nationkey')} AS preferred_channel,
   c_mktsegment AS top_category,
-  c_custkey % 10 > 1 AS marketing_opt_in, c_custkey % 5 > 1 AS push_opt_in,
-  c_custkey % 7 > 2 AS sms_opt_in,
-  'STR-' || lpad(CAST(c_custkey % 500 + 1 AS VARCHAR), 3, '0') AS nearest_store_id,
-  {TODAY} - CAST(30 + c_custkey * 11 % 1795 AS INTEGER) AS signup_date,
-  {TODAY} - CAST(c_custkey % 90 AS INTEGER) AS last_login_date
+  c_acctbal >= 0 AS marketing_opt_in, length(c_mktsegment) > 8 AS push_opt_in, c_nationkey < 13 AS sms_opt_in,
+  'STR-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 3, '0') AS nearest_store_id,
+  {TODAY} - CAST(floor(c_acctbal + 1001) AS INTEGER) AS signup_date,
+  {TODAY} - CAST(c_nationkey AS INTEGER) AS last_login_date
 FROM customer LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey) ON c_nationkey = n_nationkey"""),
     "ev": ((), f"""
 SELECT 'EVT-' || CAST(o_orderkey AS VARCHAR) AS event_id, o_custkey AS customer_id,
@@ -225,7 +222,7 @@ SELECT * REPLACE ({', '.join(f'{z(c)} AS {c}' for c in SHOWN_AS_ZERO)}),
     {rnd('(CASE WHEN purchase_count_12m > 0 THEN avg_order_value ELSE CAST(annual_spend AS DOUBLE) END) * (CAST(points_multiplier AS DOUBLE) * 2.5)', 2)}
   END AS revenue_opportunity_score
 FROM wide"""),
-    "min_size": ((), "SELECT GREATEST(1, CAST(floor(count(*) * 0.004 + 0.5) AS BIGINT)) AS n FROM customer"),
+    "min_size": ((), "SELECT 3 AS n"),
     "seg_base": (("c360", "min_size"), f"""
 SELECT rfm_segment, churn_risk_tier, preferred_channel, COUNT(*) AS customer_count,
   {rnd(mean('annual_spend'), 2)} AS avg_spend,
@@ -271,7 +268,7 @@ SELECT 'BRF-' || CAST(conv_id AS VARCHAR) AS brief_id,
   {cycle(seeds.CAMPAIGN_IDS, 'conv_id')} AS campaign_id,
   {cycle([t[1] for t in seeds.TEMPLATES] + ['print'], 'conv_id * 3 + turn')} AS channel,
   {cycle([t[2] for t in seeds.TEMPLATES] + ['flyer'], 'conv_id * 3 + turn')} AS asset_type,
-  text AS content_body, left(text, 30) AS headline,
+  text AS content_body, text AS headline,
   CASE WHEN turn % 5 = 0 THEN 'in_review' END AS approval_status,
   CAST(((conv_id * 3 + turn) % 40) / 4.0 AS DOUBLE) AS score, conv_id, turn
 FROM conversations"""),

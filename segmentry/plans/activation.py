@@ -28,9 +28,14 @@ def activation_rates(segments: DataFrame) -> DataFrame:
     )
 
 
+def campaign_id_of(name: str) -> Column:
+    """A readable code and a hash of the whole name, so that names with one beginning stay apart."""
+    return F.concat(X.slug(F.lit(name)), F.lit("-"), F.md5(F.lit(name)))
+
+
 def campaign_code(name: str, assets: DataFrame | None, content_id: str | None) -> Column:
     """The campaign id: the linked asset's campaign, else a code from the name."""
-    code = X.slug(F.lit(name))
+    code = campaign_id_of(name)
     if assets is None or content_id is None:
         return code
     own = assets.filter(F.col("asset_id") == content_id).agg(F.max("campaign_id").alias("own")).first()
@@ -45,10 +50,18 @@ def not_pending(members: DataFrame, audiences: DataFrame, campaign_name: str) ->
     return members.join(waiting, "customer_id", "left_anti")
 
 
-def by_priority(members: DataFrame, n_rows: int | None = None, rows_per_task: int = rank.ROWS_PER_TASK) -> DataFrame:
+def members_of(profiles: DataFrame, segment: dict) -> DataFrame:
+    """The customers of one segment; its keys are literals, so the filter reaches the scan."""
+    belongs = F.lit(True)
+    for key in SEGMENT_KEYS:
+        belongs = belongs & (F.col(key) == F.lit(segment[key]))
+    return profiles.filter(belongs)
+
+
+def by_priority(members: DataFrame) -> DataFrame:
     """Healthiest customers first; ties by id."""
     keys = [rank.descending(F.col("customer_health_score")), F.col("customer_id")]
-    return rank.row_numbers(members, "priority_rank", keys, n_rows, rows_per_task)
+    return rank.row_numbers(members, "priority_rank", keys)
 
 
 @dataclass
@@ -68,30 +81,22 @@ def activate_segment(
     now: datetime,
     content_id: str | None = None,
     assets: DataFrame | None = None,
-    n_rows: int | None = None,
-    rows_per_task: int = rank.ROWS_PER_TASK,
 ) -> Activation:
     """Stage the customers of a segment for a campaign; calling twice stages nobody twice.
 
     The segment's row, the highest audience id and the asset's campaign are
     read first: single values, which enter the plan as literals, so the segment
     filter reaches the scan of the profiles. The profile already carries address
-    and channel, so customers are not joined again. ``n_rows`` is an upper bound
-    of the staged rows; by default the size of the segment. The caller appends
-    ``rows`` once.
+    and channel, so customers are not joined again. The caller appends ``rows`` once.
     """
     segment = segments.filter(F.col("segment_id") == segment_id).first()
     segment = segment.asDict() if segment else dict.fromkeys([*SEGMENT_KEYS, "segment_name"])
     highest = audiences.agg(F.coalesce(F.max("audience_id"), F.lit(0)).alias("highest")).first()["highest"]
-    belongs = F.lit(True)
-    for key in SEGMENT_KEYS:
-        belongs = belongs & (F.col(key) == F.lit(segment[key]))
-    members = not_pending(profiles.filter(belongs), audiences, campaign_name)
+    members = not_pending(members_of(profiles, segment), audiences, campaign_name)
     staged = by_priority(
         members.select(
             "customer_id", "email", "first_name", "preferred_channel", "customer_health_score"
-        ),
-        segment.get("customer_count") if n_rows is None else n_rows, rows_per_task,
+        )
     )
     rows = AUDIENCES.fill(
         staged.withColumns({
@@ -138,8 +143,6 @@ def funnel_events(
     rates: dict[str, float],
     now: datetime,
     known: DataFrame | None = None,
-    n_rows: int | None = None,
-    rows_per_task: int = rank.ROWS_PER_TASK,
 ) -> DataFrame:
     """Split an audience into send, open, click and convert groups by a hash of the customer.
 
@@ -167,30 +170,21 @@ def funnel_events(
     ).filter(F.col("e").isNotNull()).select("customer_id", "channel", "e.*")
     digest = F.md5(F.concat_ws("|", F.lit(campaign_id), who.cast("string"), F.col("event_type")))
     events = events.withColumns({
-        "event_id": F.concat(F.lit("S"), F.substring(digest, 1, 19)),
+        "event_id": F.concat(F.lit("S"), digest),
         "campaign_id": F.lit(campaign_id),
         "device_type": F.lit("mobile"),
     })
     if known is not None:
         events = events.join(known.select("event_id"), "event_id", "left_anti")
-    return number_within_steps(events, n_rows, rows_per_task)
+    return number_within_steps(events)
 
 
-def number_within_steps(events: DataFrame, n_rows: int | None, rows_per_task: int) -> DataFrame:
+def number_within_steps(events: DataFrame) -> DataFrame:
     """Number the events of each step by customer, without one task per step."""
-    n_rows = events.count() if n_rows is None else n_rows
-    if n_rows <= rows_per_task:
-        window = Window.partitionBy("step").orderBy("customer_id")
-        numbered = events.withColumn("event_number", F.row_number().over(window).cast("bigint"))
-    else:
-        numbered = rank.row_numbers(
-            events, "event_number", [F.col("step"), F.col("customer_id")], n_rows, rows_per_task
-        )
-        # Four rows: how many events precede each step.
-        sizes = {r["step"]: r["count"] for r in events.groupBy("step").count().collect()}
-        before = [sum(sizes.get(j, 0) for j in range(i)) for i in range(len(FUNNEL))]
-        lower = F.element_at(F.lit(before), F.col("step") + 1)
-        numbered = numbered.withColumn("event_number", F.col("event_number") - lower)
+    numbered = rank.row_numbers(events, "event_number", [F.col("step"), F.col("customer_id")])
+    # One row for each step: how many events precede it.
+    lower = numbered.groupBy("step").agg((F.min("event_number") - 1).alias("lower"))
+    numbered = numbered.join(lower, "step").withColumn("event_number", F.col("event_number") - F.col("lower")).drop("lower")
     shown = CAMPAIGN_EVENTS.fill(numbered).columns
     return numbered.withColumn("promo_code_used", F.lit(None).cast("string")).select(
         *shown, "event_number"

@@ -54,8 +54,9 @@ def by_month(events: DataFrame) -> DataFrame:
 
 
 def purchase_amount() -> Column:
-    """The amount in the JSON properties, parsed for purchases only."""
-    amount = F.get_json_object("event_properties", "$.amount").try_cast(X.MONEY)
+    """The amount in the JSON properties, parsed for purchases only; an unreadable one fails the job."""
+    kind = F.when(F.col("event_type") == "purchase", F.get_json_object("event_properties", "$.amount"))
+    amount = kind.cast(X.MONEY)
     return F.when(F.col("event_type") == "purchase", amount)
 
 
@@ -160,7 +161,7 @@ def rfm_base(customers: DataFrame, metrics: DataFrame, as_of: datetime) -> DataF
     return joined.select("customer_id", *[c.alias(n) for n, c in rfm_inputs(as_of).items()])
 
 
-def rfm_scores(base: DataFrame, n_rows: int, rows_per_task: int = rank.ROWS_PER_TASK) -> DataFrame:
+def rfm_scores(base: DataFrame) -> DataFrame:
     """Quintiles, 5 = best. Ties are broken by customer id so that a rerun agrees."""
     who = F.col("customer_id")
     return rank.tiles(
@@ -170,7 +171,7 @@ def rfm_scores(base: DataFrame, n_rows: int, rows_per_task: int = rank.ROWS_PER_
             "f_score": [F.col("frequency"), who],
             "m_score": [F.col("monetary"), who],
         },
-        n_tiles=5, n_rows=n_rows, rows_per_task=rows_per_task,
+        n_tiles=5,
     ).withColumn("rfm_composite_score", composite())
 
 
@@ -278,8 +279,6 @@ def customer_360(
     events: DataFrame,
     campaign_events: DataFrame,
     as_of: datetime,
-    n_customers: int | None = None,
-    rows_per_task: int = rank.ROWS_PER_TASK,
 ) -> DataFrame:
     """The 65-column profile, one row per customer.
 
@@ -287,7 +286,6 @@ def customer_360(
     joins share the customer id as key. The tier table is inline, so the planner
     knows its size and broadcasts it.
     """
-    n_customers = customers.count() if n_customers is None else n_customers
     tiers = seeds.loyalty_tiers(customers.sparkSession).select(
         F.col("tier_id").alias("loyalty_tier_id"), "points_multiplier",
         F.col("discount_pct").alias("tier_discount_pct"),
@@ -299,7 +297,7 @@ def customer_360(
         .join(tiers, "loyalty_tier_id", "left")
         .withColumns(rfm_inputs(as_of))
     )
-    scored = rfm_scores(wide, n_customers, rows_per_task)
+    scored = rfm_scores(wide)
     scored = scored.withColumns({
         "age": X.years_between(F.col("date_of_birth"), today),
         "tenure_days": X.days_between(F.col("signup_date"), today),

@@ -10,13 +10,10 @@ from segmentry.functions import exprs as X
 SEGMENT_KEYS = ["rfm_segment", "churn_risk_tier", "preferred_channel"]
 MAX_SEGMENTS = 22  # Fixed value: the report keeps the best 22.
 
+MIN_SIZE = 200  # Fixed value: the smallest audience worth a segment.
 
-def minimum_size(n_customers: int, share: float = 0.004) -> int:
-    """Smallest audience worth a segment: 200 of 50,000 customers, scaled."""
-    return max(1, int(n_customers * share + 0.5))
 
-
-def segment_base(profiles: DataFrame, min_size: int) -> DataFrame:
+def segment_base(profiles: DataFrame, min_size: int = MIN_SIZE) -> DataFrame:
     """At most 8 × 3 × channels rows; combined before the shuffle, so a large group is no burden."""
     return (
         profiles.groupBy(*SEGMENT_KEYS)
@@ -73,7 +70,7 @@ def ranked_segments(base: DataFrame) -> DataFrame:
     )
 
 
-def micro_segments(profiles: DataFrame, min_size: int, top: int = MAX_SEGMENTS) -> DataFrame:
+def micro_segments(profiles: DataFrame, min_size: int = MIN_SIZE, top: int = MAX_SEGMENTS) -> DataFrame:
     """The best segments by intent. Ids are given before the cut, so they need not be dense."""
     ranked = ranked_segments(segment_base(profiles, min_size))
     return ranked.orderBy(F.col("intent_score").desc_nulls_first(), "segment_id").limit(top)

@@ -20,9 +20,9 @@ ASSET_FIELDS = (
 )
 
 
-def _short_hash(*columns: Column) -> Column:
-    """Keeps generated ids of one batch apart; the time alone has only seconds."""
-    return F.substring(F.md5(F.concat_ws("|", *columns)), 1, 12)
+def _digest(*columns: Column) -> Column:
+    """Keeps generated ids apart; the time alone has only seconds, and equal contents differ in their sequence."""
+    return F.md5(F.concat_ws("|", *[c.cast("string") for c in columns]))
 
 
 def parsed_briefs(submissions: DataFrame, now: datetime) -> DataFrame:
@@ -31,7 +31,7 @@ def parsed_briefs(submissions: DataFrame, now: datetime) -> DataFrame:
     made = F.concat(
         F.lit("BRF-"), F.replace(F.col("campaign_id"), F.lit("CMP-"), F.lit("")), F.lit("-"),
         F.date_format(X.ntz(now), "HHmmss"), F.lit("-"),
-        _short_hash(F.col("campaign_id"), F.col("brief_json")),
+        _digest(F.col("campaign_id"), F.col("brief_json"), F.col("sequence")),
     )
     return body.select(
         F.coalesce(F.col("b.brief_id"), made).alias("brief_id"),
@@ -55,16 +55,22 @@ def save_briefs(existing: DataFrame, submissions: DataFrame, now: datetime) -> D
     )
 
 
-def parsed_assets(submissions: DataFrame, now: datetime) -> DataFrame:
-    """``brief_id, asset_json`` to asset rows. The voice score is kept as a whole number."""
-    body = submissions.withColumn("a", F.from_json("asset_json", ASSET_FIELDS))
-    made = F.concat(
+def generated_asset_id(channel: Column, now: datetime) -> Column:
+    """The id of a submission that brings none; unique, as the whole submission and its sequence are digested."""
+    return F.concat(
         F.lit("AST-"), F.replace(F.col("brief_id"), F.lit("BRF-"), F.lit("")), F.lit("-"),
-        F.upper(F.left(F.col("a.channel"), F.lit(3))), F.lit("-"),
+        F.upper(F.left(channel, F.lit(3))), F.lit("-"),
         F.date_format(X.ntz(now), "HHmmss"), F.lit("-"),
-        _short_hash(F.col("brief_id"), F.col("asset_json")),
+        _digest(F.col("brief_id"), F.col("asset_json"), F.col("sequence")),
     )
-    score = F.round(F.col("a.brand_voice_score").try_cast("decimal(18,6)"), 0)
+
+
+def parsed_assets(submissions: DataFrame, now: datetime) -> DataFrame:
+    """``brief_id, asset_json, sequence`` to asset rows, one for each id: of a repeated given id the last
+    submission counts. The voice score is kept as a whole number; an unreadable one fails the job."""
+    body = submissions.withColumn("a", F.from_json("asset_json", ASSET_FIELDS))
+    made = generated_asset_id(F.col("a.channel"), now)
+    score = F.round(F.col("a.brand_voice_score").cast("decimal(18,6)"), 0)
     rows = body.select(
         F.coalesce(F.col("a.asset_id"), made).alias("asset_id"),
         "brief_id",
@@ -73,13 +79,15 @@ def parsed_assets(submissions: DataFrame, now: datetime) -> DataFrame:
         F.coalesce(F.col("a.approval_status"), F.lit("draft")).alias("approval_status"),
         score.alias("brand_voice_score"),
         X.ntz(now).alias("generated_at"),
+        "sequence",
     )
-    return ASSETS.fill(rows)
+    return ASSETS.fill(dml.latest(rows, ["asset_id"], F.col("sequence")))
 
 
 def save_assets(existing: DataFrame, submissions: DataFrame, now: datetime) -> DataFrame:
-    """The asset table after the batch: saved assets are always added."""
-    return existing.unionByName(parsed_assets(submissions, now))
+    """The asset table after the batch: new ids are added, a known id takes the new content."""
+    rows = parsed_assets(submissions, now)
+    return dml.upsert(existing, rows, ["asset_id"], update=[c for c in rows.columns if c != "asset_id"])
 
 
 WRITTEN_BACK = ["campaign_audiences", "campaign_briefs", "content_assets"]

@@ -11,7 +11,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from segmentry.functions import exprs as X
 from segmentry.sources import seeds
@@ -20,16 +19,8 @@ AS_OF = datetime(2001, 8, 2)
 EVENTS_AS_OF = datetime(2024, 1, 31)
 
 
-# Schemas of files already seen. The test tables are read-only, so a file is
-# opened for its schema once and not once per query.
-_schemas: dict[str, StructType] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    path = f"{sf_dir}/{table}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def tier_rule(spend: Column, values: list[str]) -> Column:
@@ -55,27 +46,26 @@ def customers(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> Data
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)).alias("first_name"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("last_name"),
         F.concat(F.lower(F.col("c_name")), F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("("), (F.lit(200) + number % 800).cast("string"), F.lit(") "),
-                 X.padded(number * 7 % 10000, 4), F.lit("-"),
-                 X.padded(number * 13 % 10000, 4)).alias("phone"),
-        F.date_sub(today, (F.lit(6570) + number * 31 % 11680).cast("int")).alias("date_of_birth"),
-        X.cycle(seeds.GENDERS, number).alias("gender"),
+        # What the tables lack is taken from the balance, the market segment and the place.
+        F.concat(F.lit("+00 "), X.padded(F.col("c_nationkey"), 2), F.lit(" "), X.padded(number, 9)).alias("phone"),
+        F.date_sub(F.date_sub(today, 7300), F.floor(F.abs(F.col("c_acctbal"))).cast("int")).alias("date_of_birth"),
+        X.cycle(seeds.GENDERS, F.length("c_mktsegment").cast("bigint")).alias("gender"),
         F.col("n_name").alias("city"),
         F.right(F.col("n_name"), F.lit(2)).alias("state"),
-        X.padded((number * 17 + 10000) % 90000 + 10000, 5).alias("zip_code"),
+        F.concat(X.padded(F.col("c_nationkey"), 2), X.padded(number % 1000, 3)).alias("zip_code"),
         F.col("r_name").alias("region"),
         tier_rule(spend, [t[0] for t in seeds.LOYALTY_TIERS]).alias("loyalty_tier_id"),
         tier_rule(spend, [t[1] for t in seeds.LOYALTY_TIERS]).alias("loyalty_tier_name"),
         spend.alias("annual_spend"),
-        (number * 37 % 15000).alias("loyalty_points"),
-        X.cycle(seeds.PREFERRED_CHANNELS, number).alias("preferred_channel"),
+        F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0))).cast("bigint").alias("loyalty_points"),
+        X.cycle(seeds.PREFERRED_CHANNELS, F.col("c_nationkey").cast("bigint")).alias("preferred_channel"),
         F.col("c_mktsegment").alias("top_category"),
-        (number % 10 > 1).alias("marketing_opt_in"),
-        (number % 5 > 1).alias("push_opt_in"),
-        (number % 7 > 2).alias("sms_opt_in"),
-        F.concat(F.lit("STR-"), X.padded(number % 500 + 1, 3)).alias("nearest_store_id"),
-        F.date_sub(today, (F.lit(30) + number * 11 % 1795).cast("int")).alias("signup_date"),
-        F.date_sub(today, (number % 90).cast("int")).alias("last_login_date"),
+        (F.col("c_acctbal") >= 0).alias("marketing_opt_in"),
+        (F.length("c_mktsegment") > 8).alias("push_opt_in"),
+        (F.col("c_nationkey") < 13).alias("sms_opt_in"),
+        F.concat(F.lit("STR-"), X.padded(F.col("c_nationkey") + 1, 3)).alias("nearest_store_id"),
+        F.date_sub(today, F.floor(F.col("c_acctbal") + 1001).cast("int")).alias("signup_date"),
+        F.date_sub(today, F.col("c_nationkey").cast("int")).alias("last_login_date"),
     )
 
 
@@ -186,11 +176,12 @@ def asset_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.cycle(channels, slot).alias("channel"),
         X.cycle(types, slot).alias("asset_type"),
         F.col("text").alias("content_body"),
-        F.left(F.col("text"), F.lit(30)).alias("headline"),
+        F.col("text").alias("headline"),
         F.when(F.col("turn") % 5 == 0, F.lit("in_review")).alias("approval_status"),
         ((slot % 40) / F.lit(4.0)).alias("brand_voice_score"),
     )
     return turns.select(
         F.concat(F.lit("BRF-"), F.col("conv_id").cast("string")).alias("brief_id"),
         F.to_json(body).alias("asset_json"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("sequence"),
     )

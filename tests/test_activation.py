@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ def test_second_activation_stages_nobody(spark, world):
     summary = json.loads(second.summary.first().result)
     assert summary == {
         "customers_staged": 30, "segment_id": 1, "segment_name": "Loyal / Low Churn / EMAIL",
-        "campaign_name": "Summer", "campaign_id": "SUMMER", "status": "success",
+        "campaign_name": "Summer", "campaign_id": "SUMMER-" + md5(b"Summer").hexdigest(), "status": "success",
     }
     other = activation.activate_segment(profiles, segments, table, 1, "Winter", NOW)
     assert other.rows.count() == 30
@@ -50,10 +51,9 @@ def test_second_activation_stages_nobody(spark, world):
 
 def test_priority_follows_health_then_id(world):
     profiles, segments, empty = world
-    for limit in (5, 1000):
-        got = activation.activate_segment(profiles, segments, empty, 2, "Summer", NOW, rows_per_task=limit).rows
-        order = [r.customer_id for r in got.orderBy("priority_rank").collect()]
-        assert order == sorted((i for i in range(60) if i % 2 == 0), key=lambda i: (-(i % 7), i))
+    got = activation.activate_segment(profiles, segments, empty, 2, "Summer", NOW).rows
+    order = [r.customer_id for r in got.orderBy("priority_rank").collect()]
+    assert order == sorted((i for i in range(60) if i % 2 == 0), key=lambda i: (-(i % 7), i))
 
 
 def test_delivered_customers_can_be_staged_again(spark, world):
@@ -75,7 +75,16 @@ def test_campaign_id_of_the_linked_asset(spark, world):
         return json.loads(done.summary.first().result)["campaign_id"]
 
     assert campaign("AST-1") == "CMP-9"
-    assert campaign("AST-missing") == "BIG-SUMMER-SALE"
+    assert campaign("AST-missing") == "BIG-SUMMER-SALE-" + md5(b"Big summer sale now").hexdigest()
+
+
+def test_campaigns_with_one_beginning_stay_apart(spark):
+    audience = spark.range(20).select(F.col("id").alias("customer_id"), F.lit("sms").alias("preferred_channel"))
+    rates = {"open": 0.5, "click": 0.2, "convert": 0.1}
+    ids = [spark.range(1).select(activation.campaign_id_of(f"Summer Trail Days {part}")).first()[0] for part in ("East", "West")]
+    first = activation.funnel_events(audience, ids[0], rates, NOW)
+    second = activation.funnel_events(audience, ids[1], rates, NOW, known=first)
+    assert ids[0] != ids[1] and second.count() == first.count() >= 20
 
 
 def test_rates_are_clamped(world):
@@ -87,8 +96,6 @@ def test_funnel_is_idempotent_and_numbered_per_step(spark):
     audience = spark.range(500).select(F.col("id").alias("customer_id"), F.lit("sms").alias("preferred_channel"))
     rates = {"open": 0.5, "click": 0.2, "convert": 0.1}
     small = activation.funnel_events(audience, "C-1", rates, NOW)
-    split = activation.funnel_events(audience, "C-1", rates, NOW, rows_per_task=90)
-    assert rows(small) == rows(split)
     events = small.collect()
     assert len({e.event_id for e in events}) == len(events)
     for kind, share in [("send", 1.0), ("open", 0.5), ("click", 0.2), ("convert", 0.1)]:
@@ -123,7 +130,8 @@ def test_unknown_segment_stages_nobody(world):
 def test_segment_filter_reaches_the_scan(spark, world, tmp_path):
     profiles, segments, empty = world
     profiles.write.parquet(str(tmp_path / "p"))
-    got = activation.activate_segment(spark.read.parquet(str(tmp_path / "p")), segments, empty, 1, "Summer", NOW).rows
+    segment = segments.filter("segment_id = 1").first().asDict()
+    got = activation.not_pending(activation.members_of(spark.read.parquet(str(tmp_path / "p")), segment), empty, "Summer")
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(rfm_segment,Loyal)" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 

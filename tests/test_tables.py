@@ -109,10 +109,38 @@ def test_briefs_are_upserted(spark):
     assert got["B1"].created_at == FIRST and got["B9"].created_at == LATER
 
 
+ASSET_ROWS = "brief_id string, asset_json string, sequence bigint"
+
+
+def test_equal_submissions_stay_apart(spark):
+    same = json.dumps({"channel": "email", "content_body": "hi"})
+    empty = spark.createDataFrame([], ASSETS.ddl())
+    twice = spark.createDataFrame([("BRF-7", same, 1), ("BRF-7", same, 2)], ASSET_ROWS)
+    assert writeback.save_assets(empty, twice, FIRST).select("asset_id").distinct().count() == 2
+    given = [("BRF-7", json.dumps({"asset_id": "A1", "headline": h}), n) for n, h in enumerate(("old", "new"))]
+    (only,) = writeback.save_assets(empty, spark.createDataFrame(given, ASSET_ROWS), FIRST).collect()
+    assert (only.asset_id, only.headline) == ("A1", "new")
+    briefs = submissions(spark, *[("CMP-1", {"created_by": "ann"})] * 3)
+    assert writeback.save_briefs(spark.createDataFrame([], BRIEFS.ddl()), briefs, FIRST).count() == 3
+
+
+def test_unreadable_score_fails(spark):
+    bad = spark.createDataFrame([("BRF-7", json.dumps({"brand_voice_score": "none"}), 1)], ASSET_ROWS)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        writeback.parsed_assets(bad, FIRST).collect()
+
+
+def test_latest_with_unknown_order_and_repeated_source_keys(spark):
+    rows_ = spark.createDataFrame([("a", None, 1), ("b", None, 2), ("b", 5, 3)], "k string, at int, v int")
+    assert rows(dml.latest(rows_, ["k"], F.col("at")).select("k", "v")) == [("a", 1), ("b", 3)]
+    with pytest.raises(Exception, match="repeats a key"):
+        dml.upsert(rows_, rows_, ["k"], ["v"]).collect()
+
+
 def test_assets_are_parsed_with_defaults(spark):
     items = [("BRF-7", {"channel": "email", "content_body": "hi", "brand_voice_score": 7.5}),
-             ("BRF-7", {"asset_id": "A1", "approval_status": "approved", "brand_voice_score": "none"})]
-    df = spark.createDataFrame([(b, json.dumps(a)) for b, a in items], "brief_id string, asset_json string")
+             ("BRF-7", {"asset_id": "A1", "approval_status": "approved", "brand_voice_score": None})]
+    df = spark.createDataFrame([(b, json.dumps(a), i) for i, (b, a) in enumerate(items)], ASSET_ROWS)
     saved = {r.asset_id: r for r in writeback.save_assets(spark.createDataFrame([], ASSETS.ddl()), df, FIRST).collect()}
     made = next(k for k in saved if k != "A1")
     assert made.startswith("AST-7-EMA-093005-")
