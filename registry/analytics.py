@@ -18,7 +18,7 @@ from segmentry.plans import (
 from segmentry.sources import bindings
 from segmentry.sources.bindings import AS_OF
 from segmentry.sources.schemas import ASSETS, AUDIENCES, BRIEFS, CAMPAIGN_EVENTS
-from segmentry.sources.storage import Tables, new_path
+from segmentry.sources.storage import Tables, materialise, new_path
 
 NOW = datetime(2001, 8, 2, 9, 30, 15)
 CAMPAIGN = "Summer Trail Days"
@@ -242,6 +242,38 @@ def funnel_events(d: Data):
     return activation.funnel_events(audience, CAMPAIGN_ID, RATES, NOW)
 
 
+FLOW_SQL = " UNION ALL ".join(
+    f"SELECT preferred_channel AS channel, '{kind}' AS event_type, "
+    f"TIMESTAMP '2001-08-02 09:30:15' - to_minutes({bucket('customer_id', salt, spread)} + {floor}) AS event_timestamp, "
+    + (f"35 + {bucket('customer_id', '', 245)}" if kind == "convert" else "0") + " AS revenue FROM staged"
+    + ("" if kind == "send" else f", r WHERE {bucket('customer_id', kind)} < r.{kind}_rate * 1000")
+    for kind, salt, spread, floor in activation.FUNNEL
+)
+
+
+@query("activation_flow", ACTIVATE + f""", r AS (SELECT GREATEST(LEAST(c * 5.0, 0.65), 0.28) AS open_rate,
+    GREATEST(LEAST(c * 2.5, 0.35), 0.12) AS click_rate, GREATEST(c, 0.05) AS convert_rate
+  FROM (SELECT CAST(avg_campaign_conversion_rate AS DOUBLE) AS c FROM segments WHERE segment_id = 1))
+, f AS ({FLOW_SQL})
+SELECT '{CAMPAIGN_ID}' AS campaign_id, channel, CAST(date_trunc('week', event_timestamp) AS DATE) AS period,
+  {cnt("event_type = 'send'")} AS sends, {cnt("event_type = 'open'")} AS opens, {cnt("event_type = 'click'")} AS clicks,
+  {cnt("event_type = 'convert'")} AS conversions, CAST(SUM(revenue) AS DOUBLE) AS owned_revenue
+FROM f GROUP BY channel, CAST(date_trunc('week', event_timestamp) AS DATE)""")
+def activation_flow(d: Data):
+    """Stage a segment, split its audience by the segment's own rates, and report the weeks; a second
+    split adds nothing."""
+    segments_ = materialise(d.segments, "segments")
+    staged = materialise(activation.activate_segment(
+        d.stored_profiles, segments_, prior_audience(d), SEGMENT_ID, CAMPAIGN, NOW).rows, "audience")
+    # One row: the segment's.
+    own = activation.activation_rates(segments_).filter(F.col("segment_id") == SEGMENT_ID).first()
+    rates = {kind: own[f"{kind}_rate"] for kind in ("open", "click", "convert")}
+    first = materialise(activation.funnel_events(staged, CAMPAIGN_ID, rates, NOW), "flow-events")
+    again = activation.funnel_events(staged, CAMPAIGN_ID, rates, NOW, known=first)
+    return performance.owned_metrics(first.unionByName(again), d.library).select(
+        "campaign_id", "channel", "period", "sends", "opens", "clicks", "conversions", "owned_revenue")
+
+
 @query("hash_sample", with_("customers") + f"""SELECT customer_id, {bucket('customer_id', 'open')} AS hash_bucket,
   {bucket('customer_id', 'open')} < 0.4 * 1000 AS in_sample,
   CASE WHEN {bucket('customer_id', 'ab')} < 100 THEN 'holdout' WHEN {bucket('customer_id', 'ab')} < 550 THEN 'a'
