@@ -122,8 +122,20 @@ class Matcher:
             at = np.minimum(at + move.astype(np.int64), block.shape[1])
         return key
 
-    def find(self, batch: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
-        """(text number, item number, first word, end word, edits) of all matches."""
+    def find(self, batch: list[str | None], chars: int = 4_000_000) -> Iterator[tuple[int, int, int, int, int]]:
+        """(text number, item number, first word, end word, edits) of all matches; texts are taken
+        together up to ``chars``, which bounds the memory of a step."""
+        low = 0
+        while low < len(batch):
+            high, size = low, 0
+            while high < len(batch) and (high == low or size + len(batch[high] or "") <= chars):
+                size += len(batch[high] or "")
+                high += 1
+            for text, *match in self.find_in(batch[low:high]):
+                yield (low + text, *match)
+            low = high
+
+    def find_in(self, batch: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
         split = [words(t) for t in batch]
         sizes = np.array([len(s) for s in split], dtype=np.int64)
         ends = np.cumsum(sizes)

@@ -86,7 +86,8 @@ def sampled(df: DataFrame, most: int) -> DataFrame:
     n = df.count()
     if n <= most:
         return df
-    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(1_000_000 * most / n)
+    # The hash as a number below 2^63, so the share is fine for any row count.
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1) < F.lit(int(2**63 * most // n)).cast("bigint")
     return df.filter(share).limit(most)
 
 
