@@ -9,10 +9,9 @@ import pytest
 
 import __spark_entry__ as entry_point
 import check_oracles
+from registry import ORACLES, QUERIES
 from tests.conftest import SF_DIR
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -47,3 +46,4 @@ def test_every_key_of_the_survey_is_registered():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
