@@ -141,10 +141,16 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def whole_texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, text) of the given digests, once each. The keys grow with the input and are never broadcast."""
-    whole = texts(docs).select(F.unhex(F.md5("text")).alias("key"), "text")
-    # Copies have one digest; any of them will do.
-    return materialise(whole.join(keys.hint("merge"), "key", "left_semi").dropDuplicates(["key"]), "texts")
+    """(key, text) of the given (key, first doc_id), once each.
+
+    Rows are dealt by digest and doc_id, so a text with very many copies is spread over tasks and
+    only its first row goes on. The keys grow with the input and are never broadcast.
+    """
+    rows = texts(docs).select(F.unhex(F.md5("text")).alias("key"), "doc_id", "text")
+    wanted = keys.select(F.col("key").alias("k"), "first").hint("merge")
+    chosen = rows.join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+    # Rows that repeat a doc_id and text are left.
+    return materialise(chosen.select("key", "text").dropDuplicates(["key"]), "texts")
 
 
 def verified(pairs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
@@ -190,7 +196,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     heads = banded.groupBy("bucket").agg(F.min("node.key").alias("low"), F.max("node.key").alias("high"),
                                          F.min("node").alias("head")).filter("low <> high")
     shared = materialise(banded.select("bucket", "place", "key").join(heads.select("bucket", F.col("head.key").alias("head")), "bucket"), "buckets")
-    whole = whole_texts(docs, shared.select("key").distinct())
+    whole = whole_texts(docs, nodes.select("key", "first").join(shared.select("key").distinct(), "key"))
     links = verified(shared.filter("key <> head").select(F.col("head").alias("u"), F.col("key").alias("v")).distinct(),
                      whole, similarity)
     links = materialise(links, "links")
