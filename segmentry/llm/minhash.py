@@ -195,7 +195,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     banded = nodes.select(F.posexplode("bands").alias("place", "bucket"), "key", F.struct("first", "key").alias("node"))
     heads = banded.groupBy("bucket").agg(F.min("node.key").alias("low"), F.max("node.key").alias("high"),
                                          F.min("node").alias("head")).filter("low <> high")
-    shared = materialise(banded.select("bucket", "place", "key").join(heads.select("bucket", F.col("head.key").alias("head")), "bucket"), "buckets")
+    # Written, so that both sides of the join are plain exchanges, which the planner splits where a bucket is hot.
+    heads = materialise(heads.select("bucket", F.col("head.key").alias("head")), "heads")
+    shared = materialise(banded.select("bucket", "place", "key").join(heads, "bucket"), "buckets")
     whole = whole_texts(docs, nodes.select("key", "first").join(shared.select("key").distinct(), "key"))
     links = verified(shared.filter("key <> head").select(F.col("head").alias("u"), F.col("key").alias("v")).distinct(),
                      whole, similarity)

@@ -80,7 +80,9 @@ def runs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = materialise(all_units(rows), "units")
     place = F.struct("doc_id", "row", "seq", "start")
     first = found.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    repeats = found.join(first.select("high", "low", "first"), ["high", "low"]).filter(
+    # Written, so that both sides of the join are plain exchanges, which the planner splits where a digest is hot.
+    first = materialise(first.select("high", "low", "first"), "first")
+    repeats = found.join(first, ["high", "low"]).filter(
         (F.col("row") != F.col("first.row")) | (F.col("seq") != F.col("first.seq")))
     # Neighbours have equal differences of unit number and place among the text's repeats.
     by_row = Window.partitionBy("row").orderBy("seq")
