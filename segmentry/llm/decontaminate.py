@@ -9,6 +9,11 @@ turns few edits into few differing steps. Each repetition has its own walk and
 samples ``SAMPLED`` steps; windows and items that agree in the sampled words
 meet. Those pairs are verified by the exact edit distance.
 
+Walks that inserted or deleted words have moved apart take long to meet again,
+so an item has a walk from each of several places, ``SEGMENT`` words long: of
+the parts of a match one at least has no more than its share of the edits. A
+meeting there stands for all starts that the edits allow.
+
 Before the walks, windows are dropped that hold too few word runs of length q
 of any item: e edits change at most q * e of an item's n - q + 1 runs, so a
 match holds the others and is never lost.
@@ -39,8 +44,10 @@ from segmentry.llm.common import WordHashes, grams, mixed, texts
 
 TOLERANCE = 0.2
 # With 32 repetitions of 2 sampled steps, items with 20 % of their words
-# replaced are found with a probability over 0.99 (see tests).
+# replaced, inserted or deleted are found with a probability over 0.99 (see tests).
 REPETITIONS, SAMPLED = 32, 2
+# Words of a walk, and between the places of an item where walks begin.
+SEGMENT, APART = 16, 8
 # Items of one pass over the documents, in characters.
 BLOCK_CHARS = 4_000_000
 _WORD = re.compile(r"\S+")
@@ -89,20 +96,26 @@ class Matcher:
         sizes = [len(self.items[i]) for i in group]
         low, high = min(sizes), max(sizes)
         random = np.random.default_rng([self.seed, low])
-        plan = [np.sort(random.choice(2 * low, self.sampled, replace=2 * low < self.sampled)) for _ in range(self.repetitions)]
+        length = min(low, SEGMENT)
+        plan = [np.sort(random.choice(2 * length, self.sampled, replace=2 * length < self.sampled)) for _ in range(self.repetitions)]
         edits = int(self.tolerance * high)
         q = next(q for q in (3, 2, 1) if low - q + 1 - q * edits >= 1 or q == 1)
         own = np.concatenate([grams(self.items[i], q) for i in group])
-        out = {"own": np.isin(self.runs[q], own), "high": high, "reach": high + edits, "q": q, "need": max(1, low - q + 1 - q * edits),
-               "plan": plan, "buckets": []}
-        block = np.zeros((len(group), high), dtype=np.uint64)
-        for r, i in enumerate(group):
-            block[r, : len(self.items[i])] = self.items[i]
+        width = min(high, 2 * length)  # a walk of so many steps ends there at most
+        out = {"own": np.isin(self.runs[q], own), "width": width, "reach": high + edits, "q": q, "need": max(1, low - q + 1 - q * edits),
+               "plan": plan, "keys": [], "met": []}
+        begins = np.unique(np.linspace(0, low - length, -(-(low - length) // APART) + 1).astype(np.int64)).tolist()
+        walks = [(i, begin) for i in group for begin in begins]
+        block = np.zeros((len(walks), width), dtype=np.uint64)
+        for r, (i, begin) in enumerate(walks):
+            part = self.items[i][begin : begin + width]
+            block[r, : len(part)] = part
         for n, steps in enumerate(plan):
             buckets = defaultdict(list)
-            for i, key in zip(group, self.sample(block, n, steps).tolist(), strict=True):
-                buckets[key].append(i)
-            out["buckets"].append(dict(buckets))
+            for walk, key in zip(walks, self.sample(block, n, steps).tolist(), strict=True):
+                buckets[key].append(walk)
+            out["keys"].append(np.array(sorted(buckets), dtype=np.uint64))
+            out["met"].append([buckets[key] for key in sorted(buckets)])
         return out
 
     @staticmethod
@@ -180,23 +193,40 @@ class Matcher:
 
     def matches(self, group: dict, line: np.ndarray, owner: np.ndarray, ends: np.ndarray,
                 starts: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-        at = starts[:, None] + np.arange(group["high"])
-        inside = at < ends[owner[starts]][:, None]
-        block = np.where(inside, line[np.minimum(at, len(line) - 1)], 0)
-        pairs = set()
-        for n, (steps, buckets) in enumerate(zip(group["plan"], group["buckets"], strict=True)):
-            for row, key in enumerate(self.sample(block, n, steps).tolist()):
-                for item in buckets.get(key, ()):
-                    pairs.add((int(starts[row]), item))
-        places = defaultdict(list)
-        for start, item in pairs:
-            places[int(owner[start]), item].append(start)
+        # A walk begins at any word of a window.
+        if not len(starts):
+            return
+        breaks = np.nonzero(np.diff(starts) > 1)[0]
+        low, high = starts[np.append(0, breaks + 1)], starts[np.append(breaks, len(starts) - 1)]
+        high = np.minimum(high + group["reach"], ends[owner[high]])
+        walked = np.unique(np.concatenate([np.arange(x, y) for x, y in zip(low, high, strict=True)]))
+        shifts = defaultdict(set)
+        for cut in range(0, len(walked), 50_000):
+            own_at = walked[cut : cut + 50_000]
+            at = own_at[:, None] + np.arange(group["width"])
+            block = np.where(at < ends[owner[own_at]][:, None], line[np.minimum(at, len(line) - 1)], 0)
+            for n, (steps, keys, met) in enumerate(zip(group["plan"], group["keys"], group["met"], strict=True)):
+                sampled = self.sample(block, n, steps)
+                place = np.minimum(np.searchsorted(keys, sampled), len(keys) - 1)
+                hit = np.nonzero(keys[place] == sampled)[0]
+                for word, bucket in zip(own_at[hit].tolist(), place[hit].tolist(), strict=True):
+                    for item, begin in met[bucket]:
+                        shifts[item].add(word - begin)
+        places = {}
+        for item, own_shifts in shifts.items():
+            most = int(self.tolerance * len(self.items[item]))
+            own_shifts = np.array(sorted(own_shifts))
+            low, high = np.searchsorted(starts, own_shifts - most), np.searchsorted(starts, own_shifts + most, side="right")
+            low = np.maximum(low, np.append(0, high[:-1]))  # both rise
+            own_starts = starts[np.concatenate([np.arange(x, y) for x, y in zip(low, high, strict=True)])]
+            for part in np.split(own_starts, np.nonzero(np.diff(owner[own_starts]))[0] + 1):
+                if len(part):
+                    places[int(owner[part[0]]), item] = part
         found = defaultdict(list)
         for (text, item), own_starts in places.items():
             own, end = self.items[item], int(ends[text])
             size = len(own)
             most = int(self.tolerance * size)
-            own_starts = np.sort(own_starts)
             whole = own_starts[own_starts + size <= end]
             for start in whole[(line[whole[:, None] + np.arange(size)] == own).all(axis=1)].tolist():
                 # An exact match wins over all that overlap it.

@@ -52,6 +52,23 @@ def test_recall_at_the_largest_distance():
     assert sum((i, i) in found for i in range(len(items))) >= 0.98 * len(items)
 
 
+def test_recall_of_inserted_and_deleted_words():
+    rng, words = random.Random(3), [f"w{i}" for i in range(2_000)]
+    for size in (12, 25, 50, 80, 150):
+        items = [rng.sample(words, size) for _ in range(25)]
+        matcher = dc.Matcher([" ".join(i) for i in items])
+        for inserted in (False, True):
+            texts = []
+            for item in items:
+                own = list(item)
+                for _ in range(int(dc.TOLERANCE * size)):
+                    at = rng.randrange(1, len(own))
+                    own[at : at + (not inserted)] = ["new"] * inserted
+                texts.append(" ".join(rng.choices(words, k=20) + own + rng.choices(words, k=20)))
+            found = {(t, i) for t, i, *_ in matcher.find(texts)}
+            assert sum((i, i) in found for i in range(len(items))) >= 0.98 * len(items), (size, inserted)
+
+
 def test_edges(spark):
     docs = edge_docs(spark)
     items = spark.createDataFrame([(1, "The same text twice over and over in the corpus."), (2, ""), (3, None), (None, "one short text, once."),
