@@ -41,6 +41,16 @@ def test_passage_inside_lines(spark):
     assert (found["doc_id"], found["kept_doc_id"]) == (2, 1) and found["words"] > 50
 
 
+def test_short_lines_and_scripts_without_spaces(spark):
+    chinese = "\u6c34\u5728\u5c71\u7684\u53e6\u4e00\u8fb9\u6d41\u8fc7"
+    rows = [(1, "One own line of the first.\nAll rights reserved.\n" + chinese), (2, f"All rights reserved.\nother words here\n{chinese}"),
+            (3, f"\u8fd9\u662f\u53e6\u4e00\u53e5\u8bdd\u3002{chinese}\u3002\u4e5f\u6709\u522b\u7684\u53e5\u5b50"), (4, f"{chinese}\u3002\u7ed3\u675f\u4e4b\u524d\u7684\u8bdd\u8bed")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    cut = {(r["doc_id"], dict(rows)[r["doc_id"]][r["start"] : r["end"]]) for r in repeats.find(docs).collect()}
+    assert cut == {(2, "All rights reserved."), (2, chinese), (4, chinese + "\u3002")}
+    assert {r["doc_id"]: r["text"] for r in repeats.deduplicated(docs).collect()}[2] == "\nother words here\n"
+
+
 def test_edges(spark):
     rows = sorted(((i, t) for i, t, *_ in edge_rows()), key=lambda r: -1 if r[0] is None else r[0])
     assert own(repeats.find(edge_docs(spark))) == brute(rows)
