@@ -70,7 +70,7 @@ def op3_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.find(table(spark, sf_dir, "documents"))
+    return repeats.find_all(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -1,3 +1,5 @@
+import random
+
 from edges import edge_docs, edge_rows, empty_docs
 
 from segmentry.llm import repeats
@@ -51,6 +53,20 @@ def test_short_lines_and_scripts_without_spaces(spark):
     assert {r["doc_id"]: r["text"] for r in repeats.deduplicated(docs).collect()}[2] == "\nother words here\n"
 
 
+def test_passages_without_sentence_ends(spark):
+    rng = random.Random(4)
+    own = lambda n: " ".join(f"w{rng.randrange(5_000)}" for _ in range(n))
+    planted = [own(rng.randrange(50, 120)) for _ in range(100)]
+    rows = [(2 * i + j, f"{own(rng.randrange(5, 40))} {p} {own(rng.randrange(5, 40))}") for i, p in enumerate(planted) for j in range(2)]
+    found = repeats.find_all(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    text, covered = dict(rows), {}
+    for r in found:
+        p = planted[r["doc_id"] // 2]
+        assert r["doc_id"] % 2 == 1 and r["kept_doc_id"] == r["doc_id"] - 1 and text[r["doc_id"]][r["start"] : r["end"]] in p
+        covered[r["doc_id"]] = covered.get(r["doc_id"], 0) + r["words"]
+    assert len(covered) >= 99 and sum(covered.values()) >= 0.75 * sum(len(p.split()) for p in planted)
+
+
 def test_edges(spark):
     rows = sorted(((i, t) for i, t, *_ in edge_rows()), key=lambda r: -1 if r[0] is None else r[0])
     assert own(repeats.find(edge_docs(spark))) == brute(rows)
