@@ -7,8 +7,11 @@ entity's own information it is the part of the entity that the term discloses:
 1 if the term appears next to that entity only. Terms at or above
 ``REMOVE_AT`` are removed, those at or above ``GENERALISE_AT`` are generalised
 to the entity's kind, in the texts where they stand close to the entity. Both need
-``MIN_SUPPORT`` texts with entity and term together, as a term seen less often
-says nothing about its rate.
+more texts with entity and term together than chance gives: of all pairs that are
+looked at, ``CHANCE`` at most are expected to reach that number without a tie
+(binomial tail, by its Chernoff bound), and never from one text alone. As exact
+values seldom recur, the class of a value is an entity as well: the domain of an
+address, the network of an ip, the first digits of a card or a phone.
 
 One pass over the texts writes narrow rows: the spans by row, the terms near
 entities with their places, and text counts of all terms, summed by batch. All
@@ -21,6 +24,7 @@ columns are ignored, or kept by ``sanitised``.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -36,7 +40,7 @@ from segmentry.llm.common import materialise, texts
 KINDS = ("email", "ip", "card", "phone")
 # Words on either side of a protected span that count as close to it.
 NEAR = 8
-REMOVE_AT, GENERALISE_AT, MIN_SUPPORT = 0.9, 0.6, 5
+REMOVE_AT, GENERALISE_AT, CHANCE = 0.9, 0.6, 0.01
 
 # The patterns of the contract. Runs are matched possessively
 # and begin at their first digit, which finds the same spans in linear time.
@@ -95,6 +99,18 @@ def terms(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].lower(), *m.span()) for m in _TERM.finditer(text)]
 
 
+def entities(kind: str, value: str) -> tuple[str, str]:
+    """The value, and its class."""
+    value = value.lower()
+    if kind == "email":
+        group = value[value.index("@") :]
+    elif kind == "ip":
+        group = value[: value.rindex(".") + 1] + "*"
+    else:
+        group = re.sub("[^0-9]", "", value)[: 6 if kind == "card" else 5] + "*"
+    return f"{kind}:{value}", f"{kind}:{group}"
+
+
 def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, list[int], list[int]]]:
     """(entity, term, starts, ends): the terms within ``NEAR`` words of an entity, and where.
     Words inside protected spans are no terms."""
@@ -105,10 +121,10 @@ def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str,
     starts = [w[1] for w in words]
     near: dict[tuple[str, str], dict[int, int]] = {}
     for kind, start, end in spans:
-        entity = f"{kind}:{text[start:end].lower()}"
         at = bisect_left(starts, start)
-        for word, s, e in words[max(0, at - NEAR) : at + NEAR]:
-            near.setdefault((entity, word), {})[s] = e
+        for entity in entities(kind, text[start:end]):
+            for word, s, e in words[max(0, at - NEAR) : at + NEAR]:
+                near.setdefault((entity, word), {})[s] = e
     return [(*key, list(places), list(places.values())) for key, places in near.items()]
 
 
@@ -131,9 +147,9 @@ def observe(docs: DataFrame) -> DataFrame:
             counts = [[sum(s[0] == k for s in spans) for k in KINDS] for spans in found]
             yield _batch(n, kind=["row"] * n, row=rows, doc_id=ids, key=keys, counts=counts, spans=[joined(s) for s in found])
             m = len(near)
-            entities = {(row, entity) for row, entity, *_ in near}
+            pairs = {(row, entity) for row, entity, *_ in near}
             yield _batch(m, kind=["near"] * m, **{c: [x[i] for x in near] for i, c in enumerate(("row", "entity", "term", "starts", "ends"))})
-            yield _batch(len(entities), kind=["entity"] * len(entities), entity=[e for _, e in sorted(entities)])
+            yield _batch(len(pairs), kind=["entity"] * len(pairs), entity=[e for _, e in sorted(pairs)])
             yield _batch(len(seen), kind=["term"] * len(seen), term=list(seen), n=list(seen.values()))
 
     types = {"kind": pa.string(), "row": pa.int64(), "doc_id": pa.int64(), "key": pa.binary(), "counts": pa.list_(pa.int64()), "spans": pa.string(),
@@ -151,16 +167,22 @@ def disclosing(seen: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the pairs at or above ``GENERALISE_AT``."""
     n = seen.filter("kind = 'row'").count()
     together = seen.filter("kind = 'near'").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
-    together = together.filter(F.col("both") >= MIN_SUPPORT)
-    entities = seen.filter("kind = 'entity'").groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
+    together = materialise(together, "together")
+    looked_at = together.count()
+    together = together.filter("both > 1")
+    with_entity = seen.filter("kind = 'entity'").groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
     counts = seen.filter("kind = 'term'").groupBy("term").agg(F.sum("n").alias("with_term"))
+    # Of the texts with the term, this share has the entity near it, and that share would by chance.
+    share, by_chance = F.col("both") / F.col("with_term"), F.col("with_entity") / float(max(n, 1))
+    surprise = F.col("both") * F.log(share / by_chance) + F.when(share < 1, (F.col("with_term") - F.col("both")) * F.log(
+        (1 - share) / (1 - by_chance))).otherwise(0.0)
     information = F.log(F.lit(float(max(n, 1))) / F.col("with_entity"))
     mutual = F.log(F.col("both") * float(max(n, 1)) / (F.col("with_entity") * F.col("with_term")))
     return (
-        together.join(entities, "entity").join(counts, "term")
+        together.join(with_entity, "entity").join(counts, "term")
         # An entity that every text holds has no information to disclose.
         .withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
-        .filter(F.col("disclosure") >= GENERALISE_AT).select("entity", "term", "disclosure")
+        .filter((F.col("disclosure") >= GENERALISE_AT) & (surprise >= math.log(max(looked_at, 1) / CHANCE))).select("entity", "term", "disclosure")
     )
 
 
@@ -184,8 +206,9 @@ def analysed(docs: DataFrame) -> DataFrame:
 
 
 def all_spans() -> Column:
-    """Base spans, then the added ones by kind and start, as text."""
-    own = F.transform("added", lambda a: F.concat_ws(":", a["kind"], a["start"].cast("string"), a["end"].cast("string")))
+    """Base spans, then the added ones by kind and start, as text; a generalised one has its entity's kind."""
+    own = F.transform("added", lambda a: F.concat_ws(":", F.when(a["kind"] == "generalised", F.concat(F.lit("generalised-"), a["of"])).otherwise(
+        a["kind"]), a["start"].cast("string"), a["end"].cast("string")))
     return F.concat_ws(",", F.nullif("spans", F.lit("")), F.array_join(own, ","))
 
 
@@ -201,7 +224,7 @@ def masked(text: str, spans: str) -> str:
     for kind, start, end in sorted((tuple(s.split(":")) for s in spans.split(",") if s), key=lambda s: (int(s[1]), -int(s[2]))):
         if int(end) > low:
             if int(start) >= low:
-                out += [text[low : int(start)], "" if kind == "removed" else f"[{kind.upper()}]"]
+                out += [text[low : int(start)], "" if kind == "removed" else f"[{kind.removeprefix('generalised-').upper()}]"]
             low = int(end)
     return "".join([*out, text[low:]])
 

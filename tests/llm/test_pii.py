@@ -59,3 +59,21 @@ def test_terms_that_disclose_an_entity(spark):
     # Only the name stands next to that address and nowhere else.
     assert spans[0] == "email:20:27,removed:9:16" and spans[150] == ""
     assert pii.sanitised(docs).filter("doc_id = 0").first()["text"] == "write to  at [EMAIL] about item0 today"
+
+
+def test_terms_of_few_texts_and_of_classes(spark):
+    rows = [(i, f"write to zorblax at z@x.org about item{i} today") for i in range(2)]
+    rows += [(10 + i, f"write to the quuxdesk at a{i}@quux.net about item{i} today") for i in range(4)]
+    rows += [(100 + i, f"write about the item{i} at noon today, to all") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.find(docs).collect()}
+    # A name beside one address in two texts, and one beside the addresses of one domain.
+    assert spans[0] == "email:20:27,removed:9:16" and spans[10] == "email:25:36,removed:13:21" and spans[150] == ""
+
+
+def test_generalised_terms_get_the_kind(spark):
+    rows = [(i, f"write to zorblax at z@x.org about item{i} today") for i in range(6)]
+    rows += [(50 + i, f"zorblax has an item{i} here") for i in range(6)]
+    rows += [(100 + i, f"write about the item{i} at noon today, to all") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert pii.sanitised(docs).filter("doc_id = 0").first()["text"] == "write to [EMAIL] at [EMAIL] about item0 today"
