@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmentry.llm import bpe, decontaminate, language_model, licences, minhash, pii, repeats, sharding, topk, toxicity
+from segmentry.llm import (
+    bpe, decontaminate, filter_audit, language_model, licences, minhash, phrases, pii, repeats, sharding, topk, toxicity, transducer,
+)
 from segmentry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +78,31 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def piece_file() -> str:
+    """The model file of the registered query; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op11_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.count(table(spark, sf_dir, "documents"), piece_file())
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrases"] = phrases.SQL
+
+
+@query
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filters"] = filter_audit.SQL
