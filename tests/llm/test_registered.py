@@ -6,7 +6,7 @@ import check_oracles
 
 def test_every_operator_and_the_pipeline_are_registered():
     keys = entry_point.queries()
-    assert {int(m[1]) for k in keys if (m := re.match(r"op(\d+)_", k))} == set(range(1, 11)) and "pipeline" in keys
+    assert {int(m[1]) for k in keys if (m := re.match(r"op(\d+)_", k))} == set(range(1, 14)) and "pipeline" in keys
 
 
 def test_topk_matches_its_sql(spark, sf_dir):
