@@ -112,9 +112,10 @@ def customer_scores(d: Data):
 @query("customer_rates", with_("c360") + sel(
     "customer_id email_open_rate:d email_click_rate:d campaign_conversion_rate:d return_rate:d", "c360"))
 def customer_rates(d: Data):
-    return d.profiles.select(
-        "customer_id", "email_open_rate", "email_click_rate", "campaign_conversion_rate", "return_rate"
-    )
+    """Rates need no ranks, so the profile's scores are not computed for them."""
+    counted = d.customers.select("customer_id").join(profile.event_metrics(d.events, AS_OF, ("purchase",)), "customer_id", "left").join(
+        profile.campaign_metrics(d.campaign_events, AS_OF), "customer_id", "left")
+    return counted.select("customer_id", *[rate.alias(name) for name, rate in profile.customer_rates().items()])
 
 
 DOUBLES = {
@@ -518,7 +519,11 @@ def q_segment_size(d: Data):
 SELECT s.campaign_id, library.campaign_name, sends, conversions, CAST({ratio('conversions', 'sends')} AS DOUBLE) AS conversion_rate
 FROM s LEFT JOIN library ON library.campaign_id = s.campaign_id ORDER BY conversion_rate DESC, s.campaign_id LIMIT 10""")
 def q_best_campaigns(d: Data):
-    return questions.best_campaigns(d.campaign_events, d.profiles, d.library)
+    bought = profile.event_metrics(d.events, AS_OF, ("purchase",))
+    days = X.days_between(F.col("last_purchase_date"), X.day(AS_OF))
+    tiers = d.customers.select("customer_id").join(bought, "customer_id", "left").select(
+        "customer_id", profile.churn_tier(days).alias("churn_risk_tier"))
+    return questions.best_campaigns(d.campaign_events, tiers, d.library)
 
 
 @query("q_compare_types", with_("ce", "library") + f""", o AS (SELECT campaign_id, {cnt("event_type = 'send'")} AS sends,
@@ -526,9 +531,11 @@ def q_best_campaigns(d: Data):
 SELECT campaign_type, CAST({rnd(mean('conversion_rate'), 4)} AS DOUBLE) AS recorded_rate,
   CAST(SUM(sends) AS BIGINT) AS sends, CAST({ratio('SUM(conversions)', 'SUM(sends)')} AS DOUBLE) AS observed_rate
 FROM library LEFT JOIN o ON o.campaign_id = library.campaign_id
-WHERE campaign_type IN ('Welcome', 'Re-engagement') GROUP BY campaign_type""")
+WHERE campaign_type IN (SELECT DISTINCT campaign_type FROM library ORDER BY 1 LIMIT 2) GROUP BY campaign_type""")
 def q_compare_types(d: Data):
-    return questions.compare_types(d.campaign_events, d.library, ["Welcome", "Re-engagement"])
+    """The first two types of the library."""
+    first = d.library.select("campaign_type").distinct().orderBy("campaign_type").limit(2)
+    return questions.compare_types(d.campaign_events, d.library, first)
 
 
 @query("q_cart_abandon", with_("c360", "min_size") + f""", s AS (SELECT rfm_segment, churn_risk_tier, preferred_channel,

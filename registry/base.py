@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DecimalType, FloatType, IntegerType, ShortType
 
 from segmentry.plans import profile, segments
-from segmentry.sources import bindings, seeds
+from segmentry.sources import bindings
 from segmentry.sources.bindings import AS_OF, load
 from segmentry.sources.storage import materialise
 
@@ -45,7 +45,11 @@ class Data:
 
     @cached_property
     def library(self) -> DataFrame:
-        return seeds.campaign_library(self.spark)
+        return bindings.library(self.spark, self.dir)
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return bindings.categories(self.spark, self.dir)
 
     @cached_property
     def profiles(self) -> DataFrame:

@@ -12,7 +12,7 @@ from segmentry.functions import exprs as X
 from segmentry.operators import dml, rank
 from segmentry.operators.topk import top
 from segmentry.plans import performance, profile, refresh, segments
-from segmentry.sources import seeds
+from segmentry.sources import bindings, seeds
 from segmentry.sources.bindings import AS_OF
 from segmentry.sources.schemas import AUDIENCES
 from segmentry.sources.storage import Tables
@@ -297,7 +297,7 @@ def join_string_key(d: Data):
     """Join on a key built as text; only the first ten categories have one."""
     built = F.concat(F.lit("CAT-0"), X.padded(F.col("p_partkey") % 10 + 1, 2))
     parts = d.table("part").select(built.alias("category_id"), F.col("p_retailprice").cast(X.MONEY).alias("price"))
-    named = parts.join(seeds.product_categories(d.spark), "category_id")
+    named = parts.join(d.categories, "category_id")
     return named.groupBy("category_name").agg(n().alias("parts"), F.sum("price").alias("price"))
 
 
@@ -593,13 +593,12 @@ def json_object(d: Data):
     return d.table("orders").select("o_orderkey", F.to_json(body).alias("result"))
 
 
-@query("array_explode", with_("personas", "segments") + """SELECT persona_name, p.segment_id, segment_name, customer_count FROM
-(SELECT persona_name, unnest(CAST(string_split(trim(micro_segment_ids, '[]'), ',') AS BIGINT[])) AS segment_id FROM personas) p
+@query("array_explode", with_("personas", "segments") + """SELECT persona_name, p.segment_id, segment_name, customer_count FROM personas p
 JOIN segments s ON s.segment_id = p.segment_id""")
 def array_explode(d: Data):
     """Personas unfolded to the micro-segments they stand for."""
     ids = F.explode(F.from_json("micro_segment_ids", "array<bigint>"))
-    unfolded = seeds.personas(d.spark).select("persona_name", ids.alias("segment_id"))
+    unfolded = bindings.personas(d.spark, d.dir).select("persona_name", ids.alias("segment_id"))
     found = segments.micro_segments(d.profiles, d.min_size)
     return found.join(unfolded, "segment_id").select(
         "persona_name", "segment_id", "segment_name", "customer_count"

@@ -125,9 +125,16 @@ def weighted(score: str) -> str:
 # name → (names it needs, text)
 BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "tiers": ((), values(seeds.LOYALTY_TIERS, seeds.LOYALTY_TIERS_SCHEMA)),
-    "categories": ((), values(seeds.CATEGORIES, seeds.CATEGORIES_SCHEMA)),
-    "library": ((), values(seeds.LIBRARY, seeds.LIBRARY_SCHEMA)),
-    "personas": ((), values(seeds.PERSONAS, seeds.PERSONAS_SCHEMA)),
+    "categories": ((), """
+SELECT 'CAT-' || lpad(CAST(p_partkey % 12 + 1 AS VARCHAR), 3, '0') AS category_id, min(p_type) AS department,
+  min(p_name) AS category_name FROM part GROUP BY 1"""),
+    "library": ((), f"""
+SELECT {cycle(seeds.CAMPAIGN_IDS, 's_suppkey')} AS campaign_id, s_name AS campaign_name, p_type AS campaign_type,
+  (CAST(round(abs(s_acctbal) * 100) AS BIGINT) % 1500) / 10000.0 AS conversion_rate
+FROM supplier JOIN part ON p_partkey = s_suppkey WHERE s_suppkey BETWEEN 0 AND {len(seeds.CAMPAIGN_IDS) - 1}"""),
+    "personas": ((), """
+SELECT c_mktsegment AS persona_name, unnest(list_distinct(list(CAST(c_nationkey AS BIGINT)))) AS segment_id
+FROM customer WHERE c_nationkey % 5 = length(c_mktsegment) % 5 GROUP BY c_mktsegment"""),
     "templates": ((), values(seeds.TEMPLATES, seeds.TEMPLATES_SCHEMA)),
     "customers": ((), f"""
 SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,

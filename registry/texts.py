@@ -130,7 +130,7 @@ def sentiment_score(d: Data):
   {cnt('sentiment < -0.2')} AS negative_review_count
 FROM scored JOIN categories USING (category_id) GROUP BY category_id, category_name, department""")
 def sentiment_rollup(d: Data):
-    return sentiment.rollup(sentiment_score(d), seeds.product_categories(d.spark))
+    return sentiment.rollup(sentiment_score(d), d.categories)
 
 
 @query("top_themes", "WITH " + SCORED + """, t AS (SELECT CASE WHEN sentiment > 0.2 THEN 'positive' ELSE 'negative' END AS polarity,

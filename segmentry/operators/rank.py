@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from segmentry.operators import quantiles
 from segmentry.sources.storage import materialise
 
 # monotonically_increasing_id keeps the row's place in the low 33 bits.
@@ -57,11 +58,11 @@ def row_numbers(df: DataFrame, name: str, keys: list[Column], total: str | None
     return counted.select(*[F.col(f"`{c}`") for c in df.columns if c != name], (F.col("_before") + place + 1).alias(name), *more)
 
 
-def _boundaries(df: DataFrame, keys: list[Column], n_tiles: int) -> list[Column]:
-    """Literals of the keys of the last row of every tile but the last."""
+def _sorted_boundaries(df: DataFrame, keys: list[Column], n_tiles: int) -> list[Column]:
+    """Literals of the keys of the last row of every tile but the last, by ranking the keys (for texts and floats)."""
     narrow = df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
     columns = [F.col(c) for c in narrow.columns]
-    ranked = row_numbers(narrow, "rank", columns, total="total", written=True)
+    ranked = row_numbers(narrow, "rank", columns, total="total")
     # The first tiles take the remainder: tile t ends at t * size + min(t, extra).
     ends = F.array(*[F.expr(f"{t} * (total div {n_tiles}) + least({t}, total % {n_tiles})") for t in range(1, n_tiles)])
     # At most one row per boundary comes back, as text to keep its exact value.
@@ -78,16 +79,27 @@ def _boundaries(df: DataFrame, keys: list[Column], n_tiles: int) -> list[Column]
 def tiles(df: DataFrame, specs: dict[str, list[Column]], n_tiles: int) -> DataFrame:
     """Add one ``NTILE(n_tiles)`` column per entry of ``specs`` (name → keys).
 
-    Only the narrow keys are ranked, to find the ``n_tiles - 1`` boundary keys;
-    the wide rows are not sorted, shuffled or joined back: each compares its
-    own key with the boundaries.
+    The boundary keys of all entries are found together by histogram refinement
+    over the narrow keys, which are written once; nothing is sorted. The wide rows
+    stay as they are: each compares its own key with the boundaries, so that a
+    reader of few columns computes only those. Texts and floats are ranked instead.
     """
-    df = materialise(df, "tiles")
+    numbers = {name: quantiles.whole_numbers(df, keys) for name, keys in specs.items()}
+    columns = {name: [f"{name}_{i}" for i in range(len(found))] for name, found in numbers.items() if found}
+    ends: dict[str, list[tuple[int, ...]]] = {}
+    if columns:
+        narrow = df.select(*[c.alias(alias) for name in columns for c, alias in zip(numbers[name], columns[name], strict=True)])
+        ends = quantiles.boundaries(materialise(narrow, "tile_keys"), columns, n_tiles)
     labels = {}
     for name, keys in specs.items():
-        own = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
         label = F.lit(1)
-        for boundary in _boundaries(df, keys, n_tiles):
-            label = label + (own > boundary).cast("int")
+        if name in ends:
+            own = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(numbers[name])])
+            rows = ", ".join("struct(" + ", ".join(f"CAST({x} AS BIGINT) AS k{i}" for i, x in enumerate(end)) + ")" for end in ends[name])
+            label = F.size(F.filter(F.expr(f"array({rows})"), lambda end: end < own)) + 1 if rows else label  # noqa: B023
+        else:
+            own = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+            for boundary in _sorted_boundaries(df, keys, n_tiles):
+                label = label + (own > boundary).cast("int")
         labels[name] = label
     return df.withColumns(labels)

@@ -40,6 +40,7 @@ def best_campaigns(
 ) -> DataFrame:
     """Which campaigns converted best among customers of one churn tier.
 
+    ``profiles`` needs the columns customer_id and churn_risk_tier only.
     Events are counted per customer and campaign before the join, so the join
     moves one row per pair and not one per event.
     """
@@ -56,11 +57,11 @@ def best_campaigns(
     return top(rated, [F.col("conversion_rate").desc(), F.col("campaign_id")], k)
 
 
-def compare_types(campaign_events: DataFrame, library: DataFrame, types: list[str]) -> DataFrame:
-    """Recorded and observed conversion rate of campaign types."""
+def compare_types(campaign_events: DataFrame, library: DataFrame, types: DataFrame) -> DataFrame:
+    """Recorded and observed conversion rate of the campaign types in column ``campaign_type`` of ``types``."""
     observed = campaign_responses(campaign_events, ["campaign_id"])
     # The library is grouped first: it can hold several entries per type.
-    joined = library.filter(F.col("campaign_type").isin(types)).join(observed, "campaign_id", "left")
+    joined = library.join(types, "campaign_type", "left_semi").join(observed, "campaign_id", "left")
     return joined.groupBy("campaign_type").agg(
         X.round_to(X.mean(F.col("conversion_rate")), 4).alias("recorded_rate"),
         F.sum("sends").alias("sends"),

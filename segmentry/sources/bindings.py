@@ -16,7 +16,6 @@ from segmentry.functions import exprs as X
 from segmentry.sources import seeds
 
 AS_OF = datetime(2001, 8, 2)
-EVENTS_AS_OF = datetime(2024, 1, 31)
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -125,6 +124,45 @@ def paid_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CATEGORIES = 12
+
+
+def category_id(number: Column) -> Column:
+    return F.concat(F.lit("CAT-"), X.padded(number % CATEGORIES + 1, 3))
+
+
+def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product categories: the parts of one remainder, with their first type and name and their price range."""
+    price = F.col("p_retailprice").cast("decimal(8,2)")
+    return load(spark, sf_dir, "part").groupBy(category_id(F.col("p_partkey")).alias("category_id")).agg(
+        F.min("p_type").alias("department"), F.min("p_name").alias("category_name"),
+        F.min(price).alias("min_price"), F.max(price).alias("max_price"))
+
+
+def library(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One library entry per campaign: the supplier and the part of the campaign's number.
+
+    The recorded rates are the supplier's balance in three scales.
+    """
+    number = F.col("s_suppkey")
+    cents = F.round(F.abs(F.col("s_acctbal")) * 100).cast("bigint")
+    rate = lambda most: ((cents % most) / F.lit(10000.0)).cast("decimal(5,4)")
+    known = load(spark, sf_dir, "supplier").filter((number >= 0) & (number < len(seeds.CAMPAIGN_IDS)))
+    return known.join(load(spark, sf_dir, "part"), number == F.col("p_partkey")).select(
+        X.cycle(seeds.CAMPAIGN_IDS, number).alias("campaign_id"), F.col("s_name").alias("campaign_name"),
+        F.concat(F.lit("NATION "), F.col("s_nationkey").cast("string")).alias("target_segment"), F.col("p_type").alias("campaign_type"),
+        X.cycle(seeds.CAMPAIGN_CHANNELS, number).alias("channel"), F.col("p_brand").alias("performance_tier"),
+        rate(5000).alias("open_rate"), rate(2500).alias("click_rate"), rate(1500).alias("conversion_rate"))
+
+
+def personas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A persona per market segment; its micro-segments, as a JSON array, are the nation numbers of the segment's remainder."""
+    nation = F.col("c_nationkey").cast("bigint")
+    own = F.when(nation % 5 == F.length("c_mktsegment") % 5, nation)
+    return load(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("persona_name")).agg(
+        F.to_json(F.sort_array(F.collect_set(own))).alias("micro_segment_ids"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Library entries with text: source and language are the filterable attributes."""
     return load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -135,7 +173,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return docs.select(
         F.col("doc_id").alias("review_id"),
-        F.concat(F.lit("CAT-"), X.padded(F.col("doc_id") % 12 + 1, 3)).alias("category_id"),
+        category_id(F.col("doc_id")).alias("category_id"),
         F.col("text").alias("review_text"),
     )
 

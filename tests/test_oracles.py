@@ -24,6 +24,7 @@ def test_query_matches_its_sql(spark, con, key):
     want_header, want = check_oracles.run_duckdb(con, ORACLES[key])
     assert header == want_header
     assert got == want
+    assert got  # Two empty results would agree whatever the query does.
 
 
 def test_entry_runs(spark):

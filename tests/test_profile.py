@@ -157,9 +157,11 @@ def test_segment_sizes_do_not_exceed_customers(spark, sf_dir):
     assert total <= d.table("customer").count()
 
 
-def test_seed_tables(spark):
+def test_small_tables(spark, sf_dir):
     assert seeds.loyalty_tiers(spark).count() == 4
-    assert seeds.product_categories(spark).count() == 12
+    assert bindings.categories(spark, sf_dir).filter("min_price <= max_price").count() == 12
+    assert [r.campaign_id for r in bindings.library(spark, sf_dir).orderBy("campaign_id").collect()] == seeds.CAMPAIGN_IDS
+    assert bindings.personas(spark, sf_dir).filter("micro_segment_ids like '[%]'").count() == 5
     assert seeds.channel_templates(spark).schema["max_length"].dataType.simpleString() == "bigint"
 
 

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from segmentry.operators import dml, rank
+from segmentry.operators import dml, quantiles, rank
 from segmentry.operators.topk import top_per_group
 
 
@@ -51,6 +52,30 @@ def test_boundary_tiles_equal_the_window(spark, skewed, name, tiles):
     assert {r.id: r.t for r in got.collect()} == want
 
 
+def test_refinement_over_hot_values_negatives_and_wide_ranges(spark, monkeypatch):
+    """Many rounds: few steps, a third of the rows on one value, numbers at both ends of 64 bits."""
+    monkeypatch.setattr(quantiles, "STEPS", 3)
+    monkeypatch.setattr(quantiles, "FEW", 4)
+    rng = random.Random(9)
+    big = [rng.choice([-(2**62), 2**62, -1, 0, 1, None, rng.randrange(-(2**40), 2**40)]) for _ in range(900)]
+    data = [(i - 450, b, None if i % 7 == 0 else Decimal(rng.randrange(-999, 999)) / 100, bool(i % 3)) for i, b in enumerate(big)]
+    df = spark.createDataFrame(data, "id bigint, big bigint, money decimal(18,2), flag boolean").repartition(4)
+    specs = {"a": [F.col("big"), F.col("id")], "b": [rank.descending(F.col("money")), F.col("id")],
+             "c": [rank.nulls_last(F.col("money")), rank.descending(F.col("id"))], "d": [F.col("flag"), F.col("id")]}
+    order = {"a": [F.col("big").asc_nulls_first(), F.col("id")], "b": [F.col("money").desc_nulls_first(), F.col("id")],
+             "c": [F.col("money").asc_nulls_last(), F.col("id").desc()], "d": [F.col("flag"), F.col("id")]}
+    want = df.withColumns({n: F.ntile(7).over(Window.orderBy(*o)) for n, o in order.items()})
+    assert sorted(rank.tiles(df, specs, 7).collect()) == sorted(want.collect())
+
+
+def test_tiles_sort_nothing_and_keep_pruning(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(5_000).selectExpr("id", "id % 50 x", "uuid() other").write.parquet(path)
+    got = rank.tiles(spark.read.parquet(path), {"t": [F.col("x"), F.col("id")]}, 5).select("id", "t")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan and "other" not in plan.split("ReadSchema")[1]
+
+
 def test_fewer_rows_than_tiles(spark):
     df = spark.range(3)
     got = rank.tiles(df, {"t": [F.col("id")]}, 5)
