@@ -13,11 +13,11 @@ from registry.sql import (
 )
 from segmentry.functions import exprs as X
 from segmentry.plans import (
-    activation, metrics, performance, profile, questions, refresh, segments, writeback,
+    activation, incremental, metrics, performance, profile, questions, refresh, segments, writeback,
 )
-from segmentry.sources import bindings
+from segmentry.sources import bindings, checked
 from segmentry.sources.bindings import AS_OF
-from segmentry.sources.schemas import ASSETS, AUDIENCES, BRIEFS, CAMPAIGN_EVENTS
+from segmentry.sources.schemas import ASSETS, AUDIENCES, BRIEFS, CAMPAIGN_EVENTS, TABLES
 from segmentry.sources.storage import Tables, materialise, new_path
 
 NOW = datetime(2001, 8, 2, 9, 30, 15)
@@ -553,3 +553,42 @@ def q_cart_abandon(d: Data):
 FROM c360 WHERE loyalty_tier_name = 'Elite'""")
 def q_tier_opportunity(d: Data):
     return questions.tier_opportunity(d.profiles)
+
+
+# ---- incremental refresh and checked writes ---------------------------------
+
+@query("refresh_incremental", with_("pm", "em") + sel(PM, "pm").replace("SELECT", "SELECT em.* EXCLUDE (customer_id),").replace(
+    " customer_id,", " pm.customer_id,") + " JOIN em ON em.customer_id = pm.customer_id")
+def refresh_incremental(d: Data):
+    """The year's metrics after two refreshes with new, late, future and expired events."""
+    when = F.col("event_timestamp")
+    number = F.replace(F.col("event_id"), F.lit("EVT-"), F.lit("")).cast("bigint")
+    late = number % 11 == 0
+    first, second = datetime(2001, 5, 20), datetime(2001, 7, 9)
+    state = incremental.start(d.events.filter((when < X.ntz(first)) & ~late), first)
+    arrived = d.events.filter(((when >= X.ntz(first)) & (when < X.ntz(second)) & ~late) | (late & (number % 2 == 0) & (when < X.ntz(second))))
+    state = incremental.advance(state, arrived, second, "second")
+    rest = d.events.filter((when >= X.ntz(second)) | (late & (number % 2 == 1)))
+    return incremental.metrics(incremental.advance(state, rest, AS_OF, "third"))
+
+
+@query("schema_check", """WITH a AS (SELECT o_orderkey AS event_id, o_custkey,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN repeat('x', 31) ELSE o_orderpriority END AS kind,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'no time' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS moment, o_orderkey FROM orders)
+, f AS (SELECT o_orderkey, unnest([x FOR x IN [
+  CASE WHEN kind IS NULL THEN 'event_type: missing' END, CASE WHEN length(kind) > 30 THEN 'event_type: length' END,
+  CASE WHEN moment = 'no time' THEN 'event_timestamp: type' END] IF x IS NOT NULL]) AS fault FROM a)
+SELECT fault, COUNT(*) AS row_count FROM f GROUP BY fault
+UNION ALL SELECT 'kept', COUNT(*) FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM f)""")
+def schema_check(d: Data):
+    """Raw events with faults, written through the declared schema: faults found, and rows kept."""
+    number = F.col("o_orderkey")
+    raw = d.table("orders").select(
+        F.concat(F.lit("E"), number.cast("string")).alias("event_id"), F.col("o_custkey").alias("customer_id"),
+        F.when(number % 7 == 0, F.lit(None)).when(number % 7 == 1, F.lit("x" * 31)).otherwise(F.col("o_orderpriority")).alias("event_type"),
+        F.when(number % 5 == 0, "no time").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("event_timestamp"))
+    path, rejects = new_path(d.spark, "events"), new_path(d.spark, "rejects")
+    checked.write(raw, TABLES["event_stream"], path, rejects, key=["event_id"])
+    faults = d.spark.read.parquet(rejects).select(F.explode("faults").alias("fault")).groupBy("fault").agg(F.count(F.lit(1)).alias("row_count"))
+    kept = d.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("kept").alias("fault"), "row_count")
+    return faults.unionByName(kept)
