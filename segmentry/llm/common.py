@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def rank_file() -> str:
+    """The rank file of the registered query and the pipeline; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone (NULL text: empty), so that no other column can clash."""
     return docs.select(

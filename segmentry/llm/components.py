@@ -33,6 +33,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     ``edges`` has two columns ``u`` and ``v`` of one orderable type; loops and repeats are fine.
     """
     edges = materialise(edges.filter("u <> v").distinct(), "edges")
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     state = None
     for _ in range(rounds):
         edges = materialise(_star(_star(edges, larger=True), larger=False), "edges")

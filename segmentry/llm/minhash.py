@@ -217,11 +217,18 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         # In their first common bucket only.
         & ~F.arrays_overlap(F.slice("u_bands", F.lit(1), F.col("place")), F.slice("v_bands", F.lit(1), F.col("place")))
         & (agreement("u_signature", "v_signature") >= POSSIBLE))
-    more = verified(across.select(F.col("u_key").alias("u"), F.col("v_key").alias("v")), whole, similarity)
-    found = components(links.unionByName(more))
+    more = materialise(verified(across.select(F.col("u_key").alias("u"), F.col("v_key").alias("v")), whole, similarity), "more")
     named = nodes.select("key", "first", "copies").join(
         found.select(F.col("node").alias("key"), "component"), "key", "left").withColumn(
         "component", F.coalesce("component", "key"))
+    # Further links join whole components, so only the components are linked again.
+    own = found.select("node", "component")
+    ends = more
+    for end in ("u", "v"):
+        ends = ends.join(own.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left").withColumn(
+            end, F.coalesce(f"c{end}", end)).drop(f"c{end}")
+    joined = components(ends.select("u", "v")).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    named = named.join(joined, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
     named = materialise(named, "named")
     sizes = named.groupBy("component").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
     by_key = named.join(sizes, "component").select("key", "class_id", "class_size", F.col("copies").alias("text_copies"))

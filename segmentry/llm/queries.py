@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from segmentry.llm import (
     bpe, decontaminate, filter_audit, language_model, licences, minhash, phrases, pii, repeats, sharding, topk, toxicity, transducer,
 )
-from segmentry.llm.common import table
+from segmentry.llm.common import rank_file, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,13 +40,6 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
-def rank_file() -> str:
-    """The rank file of the registered query; the operator takes any path."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-
-
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), rank_file(), with_ids=False)

@@ -12,7 +12,13 @@ insults. The classifier is linear over the most telling of these features.
 
 Defined cases: a NULL text is empty; an empty text scores by the intercept; a
 row without doc_id is scored and may be learned from; repeated rows score
-alike; without toxic examples every score is 0; other columns are ignored.
+alike; of several labels of a doc_id the largest counts; features of one gap are
+chosen by their hash; a text of any length is one set of words; without toxic
+examples every score is 0; an empty table gives no rows; other columns are
+ignored.
+
+Plan: the sampled texts' features are written, counted and ranked in Spark; the
+driver gets the chosen features and one bit for each of them and text.
 """
 
 from __future__ import annotations
@@ -28,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from segmentry.llm.common import fold, texts
+from segmentry.llm.common import fold, materialise, texts
 
 WORD = re.compile(r"\w+")
 PREFIXES = (4, 5)
@@ -82,61 +88,60 @@ class Classifier:
 
 
 def sampled(df: DataFrame, most: int) -> DataFrame:
-    """About ``most`` rows chosen by a hash over all of them, ``most`` at most."""
+    """About ``most`` rows chosen by a hash over all of them; all, if there are no more.
+
+    The share is five standard deviations below ``most``, so that it is not exceeded and nothing is cut off.
+    """
     n = df.count()
     if n <= most:
         return df
+    wanted = max(1, most - int(5 * most**0.5))
     # The hash as a number below 2^63, so the share is fine for any row count.
-    share = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1) < F.lit(int(2**63 * most // n)).cast("bigint")
-    return df.filter(share).limit(most)
+    return df.filter(F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1) < F.lit(int(2**63 * wanted // n)).cast("bigint"))
 
 
-def hashed(df: DataFrame) -> list[np.ndarray]:
-    """Feature hashes of every text of a bounded sample, brought to the driver."""
+def hashed(df: DataFrame) -> DataFrame:
+    """Feature hashes ``f`` of every text."""
 
     @F.pandas_udf(ArrayType(LongType()))
     def of(batch: pd.Series) -> pd.Series:
         return pd.Series([sorted({f for w in words(t) for f in features(w)}) for t in batch])
 
-    rows = df.select(of("text").alias("f")).toArrow().column("f").chunks
-    return [np.asarray(x, dtype=np.uint32) for c in rows
-            for x in np.split(c.flatten().to_numpy(), np.cumsum(np.diff(c.offsets.to_numpy()))[:-1])]
+    return df.select(of("text").alias("f"))
 
 
-def matrix(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(rows), len(chosen)), dtype=np.float32)
-    for i, row in enumerate(rows):
-        at = np.searchsorted(chosen, row)
-        at[at == len(chosen)] = 0
-        out[i, at[chosen[at] == row]] = 1
-    return out
+def telling(samples: DataFrame, n_positive: int, n_unlabelled: int, n: int) -> np.ndarray:
+    """The ``n`` features whose rates in the two samples (rows (positive, f)) differ most, in standard errors.
 
+    Counted and ranked in Spark; ``n`` rows reach the driver.
+    """
+    texts_with = samples.select("positive", F.explode("f").alias("f")).groupBy("f").agg(
+        F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")).filter(
+        (F.col("p") >= MIN_TEXTS) | (F.col("u") >= MIN_TEXTS))
+    mean = (F.col("p") + F.col("u")) / (n_positive + n_unlabelled)
+    error = F.sqrt(F.greatest(mean * (1 - mean), F.lit(1e-9)) * (1 / n_positive + 1 / n_unlabelled))
+    gap = F.abs(F.col("p") / n_positive - F.col("u") / n_unlabelled) / error
+    best = texts_with.withColumn("gap", gap).filter(F.col("gap") >= MIN_GAP).orderBy(F.col("gap").desc(), "f").limit(n)
+    return np.sort(best.select("f").toArrow().column("f").to_numpy().astype(np.int64))
 
-def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int) -> np.ndarray:
-    """The ``n`` features whose rates in the two samples differ most, in standard errors."""
-    p_ids, p_texts = np.unique(np.concatenate(positive), return_counts=True)
-    u_ids, u_texts = np.unique(np.concatenate(unlabelled), return_counts=True)
-    ids = np.union1d(p_ids[p_texts >= MIN_TEXTS], u_ids[u_texts >= MIN_TEXTS])
 
-    def counts(own: np.ndarray, texts_with: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(own, ids), len(own) - 1)
-        return np.where(own[at] == ids, texts_with[at], 0) if len(own) else np.zeros(len(ids))
+def matrix(rows: DataFrame, chosen: np.ndarray) -> np.ndarray:
+    """For each text which of the chosen features it has; a bit a feature is what reaches the driver."""
 
-    p, u = counts(p_ids, p_texts) / len(positive), counts(u_ids, u_texts) / len(unlabelled)
-    mean = (p * len(positive) + u * len(unlabelled)) / (len(positive) + len(unlabelled))
-    error = np.sqrt(np.maximum(mean * (1 - mean), 1e-9) * (1 / len(positive) + 1 / len(unlabelled)))
-    gap = np.abs(p - u) / error
-    best = np.lexsort((ids, -gap))[:n]
-    return np.sort(ids[best[gap[best] >= MIN_GAP]])
+    @F.pandas_udf("binary")
+    def held(batch: pd.Series) -> pd.Series:
+        return pd.Series([np.packbits(np.isin(chosen, f)).tobytes() for f in batch])
 
+    packed = b"".join(rows.select(held("f").alias("x")).toArrow().column("x").to_pylist())
+    return np.unpackbits(np.frombuffer(packed, np.uint8).reshape(-1, -(-len(chosen) // 8)), axis=1)[:, : len(chosen)].astype(np.float32)
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
-        n_features: int = N_FEATURES, rounds: int = 600, rate: float = 0.1, ridge: float = 1e-4) -> Classifier:
-    """Minimise the non-negative risk with logistic loss by Adam over mini-batches."""
-    chosen = telling(positive, unlabelled, n_features)
-    if not len(chosen):
-        return Classifier({}, 0.0)
-    pos, unl = matrix(positive, chosen), matrix(unlabelled, chosen)
+
+def fit(chosen: np.ndarray, pos: np.ndarray, unl: np.ndarray, prior: float,
+        rounds: int = 600, rate: float = 0.1, ridge: float = 1e-4) -> Classifier:
+    """Minimise the non-negative risk with logistic loss by Adam over mini-batches.
+
+    ``pos`` and ``unl``: which of the ``chosen`` features the confirmed and the unlabelled texts have.
+    """
     w = np.zeros(len(chosen) + 1)
     w[-1] = np.log(prior / (1 - prior))
     first, second, random = np.zeros_like(w), np.zeros_like(w), np.random.default_rng(7)
@@ -161,7 +166,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 
 
 def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
-          max_unlabelled: int = MAX_UNLABELLED) -> Classifier:
+          max_unlabelled: int = MAX_UNLABELLED, n_features: int = N_FEATURES) -> Classifier:
     """Learn from the rows of ``docs`` outside fold 0.
 
     The prior is the toxic share of the labelled training rows, over all of them.
@@ -170,12 +175,17 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     marks = labels.filter(F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != 0)).groupBy(
         F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     n, toxic = marks.agg(F.count("toxic"), F.sum("toxic")).first()
+    if not toxic:
+        return Classifier({}, 0.0)
     confirmed = known.join(marks.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi")
-    positive = hashed(sampled(confirmed, max_positive)) if toxic else []
-    unlabelled = hashed(sampled(known, max_unlabelled)) if positive else []
-    if not positive or not unlabelled:
+    samples = materialise(hashed(sampled(confirmed, max_positive)).withColumn("positive", F.lit(True)).unionByName(
+        hashed(sampled(known, max_unlabelled)).withColumn("positive", F.lit(False))), "samples")
+    positive, unlabelled = samples.filter("positive"), samples.filter("not positive")
+    sizes = positive.count(), unlabelled.count()
+    chosen = telling(samples, *sizes, n_features) if all(sizes) else np.empty(0, np.int64)
+    if not len(chosen):
         return Classifier({}, 0.0)
-    return fit(positive, unlabelled, float(np.clip(toxic / n, 0.001, 0.999)))
+    return fit(chosen, matrix(positive, chosen), matrix(unlabelled, chosen), float(np.clip(toxic / n, 0.001, 0.999)))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
