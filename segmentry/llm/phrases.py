@@ -5,18 +5,16 @@ prefixes into groups that fit a memory budget; each group's subtree is built on
 its own, and the count of a node is the total of the leaves below it.
 
 1. Words are counted per language. A phrase is only as frequent as its rarest
-   word and word pair, so a position whose word, or whose pair with the next
-   one, stays below the minimum cuts the suffixes that run over it. Pairs are
-   counted by hash, and both tests are bit tables of hashes: a table may keep too
-   much when hashes meet, never too little, so the counts stay exact. The tables
-   have a size bound (``WORD_BITS``, ``PAIR_BITS``) at any input; beyond
-   it they keep more, which costs speed only.
+   word, so a word below the minimum ends the suffixes that run into it. The test
+   is a bit table of word hashes: where hashes meet it keeps a word too many, never
+   one too few, so counts stay exact. Its size is bounded by ``WORD_BITS`` at any
+   input; beyond it more is kept, which costs speed only.
 2. Every remaining position gives a leaf, its suffix of up to ``LONGEST`` words;
    equal leaves of a block of texts are counted before they are shuffled, so that
    a passage of a third of all texts is a row a block.
-3. The prefixes of two words fall into 2^``CELL_BITS`` hashed cells of known weight.
-   Cells are packed into groups up to the budget; a cell above it is spread over
-   several groups by the rest of its leaves.
+3. The prefixes of two words fall into 2^``CELL_BITS`` hashed cells, whose weights
+   are counted with the words. Cells are packed into groups up to the budget; a cell above
+   it is spread over several groups by the rest of its leaves.
 4. A group's leaves are sorted by Spark and read in order; a subtree is never held
    as a whole: equal beginnings of neighbours are the nodes, summed by
    batch. Totals of spread cells meet in a last, small aggregation.
@@ -54,11 +52,12 @@ from segmentry.operators.topk import top_per_group
 LONGEST = 5
 MINIMUM = 100
 TOP = 2000
-BLOCK = 1_000_000
+BLOCK = 2_000_000
 LONG = 8_000_000
-WORD_BITS, PAIR_BITS = 24, 26
-CELL_BITS = 12
-BUDGET = 500_000
+WORD_BITS = 24
+CELL_BITS = 16
+BUDGET = 2_000_000
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 #: Borders of pieces become a comma, tabs a space, capitals small letters.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -119,15 +118,15 @@ class Bits(NamedTuple):
         return (self.words[slots >> 6] >> (slots & 63)) & 1 == 1
 
 
-def width(words: int, most: int) -> int:
+def width(words: int) -> int:
     """Two bits a word or more, within bounds."""
-    return min(max(words.bit_length() + 1, 12), most)
+    return min(max(words.bit_length() + 1, 6), WORD_BITS)
 
 
 def bits(slots: DataFrame, width: int) -> Bits:
     """The table with the bits of column ``slot`` set; at most 2^(width - 6) rows reach the driver."""
     rows = slots.groupBy(F.expr("slot div 64").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("set")).toArrow()
-    words = np.zeros(max(1, 1 << (width - 6)), np.int64)
+    words = np.zeros(1 << (width - 6), np.int64)
     words[rows["at"].to_numpy()] = rows["set"].to_numpy()
     return Bits(width, words)
 
@@ -137,17 +136,22 @@ def binary_texts(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """lang, word and its occurrences, for all words."""
+def word_and_pair_counts(rows: DataFrame) -> DataFrame:
+    """lang, word, n of all words and, with a NULL word, cell, n of all word pairs, by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, vocabulary, ids in blocks(batches, 4 * BLOCK):
+        for lang, vocabulary, ids in blocks(batches, BLOCK):
             n = np.bincount(ids, minlength=len(vocabulary))[1:]
             yield pa.RecordBatch.from_arrays([
                 pa.array([lang] * len(n), pa.string()), pa.array(list(vocabulary)[1:], pa.binary()).cast(pa.string()),
-                pa.array(n, pa.int64())], names=["lang", "word", "n"])
+                pa.nulls(len(n), pa.int64()), pa.array(n, pa.int64())], names=["lang", "word", "cell", "n"])
+            at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+            cell, n = np.unique(cells(pair_hashes(ids, at, vocabulary.hashes(lang))), return_counts=True)
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(len(n), pa.string()), pa.nulls(len(n), pa.string()), pa.array(cell), pa.array(n, pa.int64())],
+                names=["lang", "word", "cell", "n"])
 
-    return rows.mapInArrow(run, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "lang string, word string, cell bigint, n bigint")
 
 
 def word_slots(words: DataFrame, width: int) -> DataFrame:
@@ -164,26 +168,12 @@ def word_slots(words: DataFrame, width: int) -> DataFrame:
     return words.select("lang", "word").mapInArrow(run, "slot bigint")
 
 
-def pairs(ids: np.ndarray, hashes: np.ndarray, words: Bits) -> tuple[np.ndarray, np.ndarray]:
-    """Whether a word and the next one are both in ``words``, and the hash of each such pair."""
-    known = words.holds(words.slots(hashes))
-    known[0] = False
-    ok = known[ids]
-    ok = np.append(ok[:-1] & ok[1:], False)
-    first = np.flatnonzero(ok)
-    return ok, mixed(hashes[ids[first]] * np.uint64(0x9E3779B97F4A7C15) + hashes[ids[first + 1]])
-
+def pair_hashes(ids: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return mixed(hashes[ids[at]] * SPREAD + hashes[ids[at + 1]])
 
-def pair_counts(rows: DataFrame, words: Bits, width: int) -> DataFrame:
-    """slot and the occurrences of the word pairs that fall into it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, vocabulary, ids in blocks(batches, 4 * BLOCK):
-            _, hashes = pairs(ids, vocabulary.hashes(lang), words)
-            slot, n = np.unique(Bits(width, None).slots(hashes), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n, pa.int64())], names=["slot", "n"])
 
-    return rows.mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+def cells(pairs: np.ndarray) -> np.ndarray:
+    return (pairs >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
 def packed(weights: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,34 +192,35 @@ def packed(weights: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
     return first, several
 
 
-def leaves(rows: DataFrame, words: Bits, frequent: Bits, first: np.ndarray, several: np.ndarray) -> DataFrame:
+def leaves(rows: DataFrame, words: Bits, first: np.ndarray, several: np.ndarray) -> DataFrame:
     """group, whole (all leaves of its first two words are in the group), lang, leaf (each word ends in a space) and
     its occurrences, by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, vocabulary, ids in blocks(batches, BLOCK):
             hashes = vocabulary.hashes(lang)
-            ok, pair = pairs(ids, hashes, words)
-            slots = frequent.slots(pair)
-            kept = frequent.holds(slots)
-            at = np.flatnonzero(ok)[kept]
+            known = words.holds(words.slots(hashes))
+            known[0] = False
+            ids = np.append(ids, np.zeros(LONGEST, np.int32))
+            ok = known[ids]
+            ok[:-1] &= ok[1:]
+            at = np.flatnonzero(ok)
             if not len(at):
                 continue
-            ok[:] = False
-            ok[at] = True
-            ids, ok = np.append(ids, np.zeros(LONGEST, np.int32)), np.append(ok, np.zeros(LONGEST, bool))
+            pair = pair_hashes(ids, at, hashes)
             window, on = np.zeros((len(at), LONGEST), np.int32), np.ones(len(at), bool)
-            window[:, 0], hashed = ids[at], pair[kept]
+            window[:, 0], hashed = ids[at], pair.copy()
             for i in range(1, LONGEST):
                 on &= ok[at + i - 1]
                 window[:, i] = np.where(on, ids[at + i], 0)
-                hashed = hashed * np.uint64(0x9E3779B97F4A7C15) + hashes[window[:, i]]
+                hashed = hashed * SPREAD + hashes[window[:, i]]
             order = np.lexsort(window.T[::-1])
             window = window[order]
             new = np.append(True, (window[1:] != window[:-1]).any(axis=1))
             starts = np.flatnonzero(new)
             n = np.diff(np.append(starts, len(window)))
-            rows_, cell = order[starts], slots[kept][order[starts]] >> (frequent.width - CELL_BITS)
+            rows_ = order[starts]
+            cell = cells(pair[rows_])
             spread = several[cell]
             group = first[cell] + (mixed(hashed[rows_]) % spread.astype(np.uint64)).astype(np.int64)
             names = pa.array([None, *list(vocabulary)[1:]], pa.binary())
@@ -276,20 +267,19 @@ def nodes(sorted_leaves: DataFrame, minimum: int) -> DataFrame:
 def counts(docs: DataFrame, minimum: int = MINIMUM, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
     """(lang, n of all words) and (lang, phrase, f) of all runs of 1 to ``LONGEST`` words with f of ``minimum`` at least."""
     rows = binary_texts(docs)
-    words = materialise(word_counts(rows), "words")
+    counted = materialise(word_and_pair_counts(rows), "words_and_pairs")
+    words = materialise(counted.filter("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     totals = materialise(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     known = words.filter(F.col("n") >= minimum)
     size = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    word_bits = bits(word_slots(known, w := width(size, WORD_BITS)), w)
-    slots = materialise(pair_counts(rows, word_bits, w := width(size, PAIR_BITS)).filter(F.col("n") >= minimum), "pairs")
-    pair_bits = bits(slots, w)
+    table = bits(word_slots(known, w := width(size)), w)
     weights = np.zeros(1 << CELL_BITS, np.int64)
-    for cell, weight in slots.groupBy(F.expr(f"shiftright(slot, {w - CELL_BITS})").alias("cell")).agg(F.sum("n")).collect():
-        weights[cell] = weight
+    by_cell = counted.filter("word is null").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    weights[by_cell["cell"].to_numpy()] = by_cell["n"].to_numpy()
     first, several = packed(weights, budget)
-    groups = int((first + several).max())
-    placed = leaves(rows, word_bits, pair_bits, first, several).repartition(max(groups, input_partitions(docs)), "group")
-    found = nodes(placed.sortWithinPartitions("lang", "leaf"), minimum).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    groups = max(int((first + several).max()), input_partitions(docs))
+    placed = leaves(rows, table, first, several).repartition(groups, "group").sortWithinPartitions("lang", "leaf")
+    found = nodes(placed, minimum).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
     both = known.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f")).unionByName(
         found.filter(F.col("f") >= minimum))
     return totals, materialise(both, "phrases")

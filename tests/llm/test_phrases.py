@@ -62,9 +62,9 @@ def test_blocks_and_long_texts(spark, monkeypatch):
 
 
 def test_a_hot_passage_and_full_tables(spark, monkeypatch):
-    # Bit tables too small for the words keep everything.
-    monkeypatch.setattr(phrases, "WORD_BITS", 12)
-    monkeypatch.setattr(phrases, "PAIR_BITS", 12)
+    # A bit table too small for the words keeps everything.
+    monkeypatch.setattr(phrases, "WORD_BITS", 6)
+    monkeypatch.setattr(phrases, "CELL_BITS", 3)
     passage = "one passage that a third of all texts share word by word"
     texts = [("en", f"{passage} x{i % 90} y{i % 70}" if i % 3 else f"z{i % 50} q{i % 45} z{i % 7}") for i in range(900)]
     assert sorted(tuple(r) for r in phrases.collocations(frame(spark, texts), 5, 2000, 100).collect()) == brute(texts, 5)
