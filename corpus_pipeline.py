@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from segmentry.llm import bpe, decontaminate, minhash, pii, toxicity
-from segmentry.llm.common import materialise, table
-from segmentry.llm.queries import rank_file
+from segmentry.llm.common import materialise, rank_file, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
