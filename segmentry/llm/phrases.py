@@ -52,7 +52,7 @@ from segmentry.operators.topk import top_per_group
 LONGEST = 5
 MINIMUM = 100
 TOP = 2000
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 LONG = 8_000_000
 WORD_BITS = 24
 CELL_BITS = 16
