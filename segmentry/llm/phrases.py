@@ -105,6 +105,11 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str,
         yield lang, vocabulary, np.concatenate(parts)
 
 
+def small(batch: pa.RecordBatch, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that no side of the exchange with Spark holds it twice."""
+    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
 class Bits(NamedTuple):
     """A table of 2^``width`` bits, asked by the highest bits of a hash."""
 
@@ -142,14 +147,14 @@ def word_and_pair_counts(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, vocabulary, ids in blocks(batches, BLOCK):
             n = np.bincount(ids, minlength=len(vocabulary))[1:]
-            yield pa.RecordBatch.from_arrays([
+            yield from small(pa.RecordBatch.from_arrays([
                 pa.array([lang] * len(n), pa.string()), pa.array(list(vocabulary)[1:], pa.binary()).cast(pa.string()),
-                pa.nulls(len(n), pa.int64()), pa.array(n, pa.int64())], names=["lang", "word", "cell", "n"])
+                pa.nulls(len(n), pa.int64()), pa.array(n, pa.int64())], names=["lang", "word", "cell", "n"]))
             at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
             cell, n = np.unique(cells(pair_hashes(ids, at, vocabulary.hashes(lang))), return_counts=True)
-            yield pa.RecordBatch.from_arrays([
+            yield from small(pa.RecordBatch.from_arrays([
                 pa.nulls(len(n), pa.string()), pa.nulls(len(n), pa.string()), pa.array(cell), pa.array(n, pa.int64())],
-                names=["lang", "word", "cell", "n"])
+                names=["lang", "word", "cell", "n"]))
 
     return rows.mapInArrow(run, "lang string, word string, cell bigint, n bigint")
 
@@ -163,7 +168,7 @@ def word_slots(words: DataFrame, width: int) -> DataFrame:
                 vocabulary = Vocabulary()
                 for word in batch.filter(pc.equal(batch.column("lang"), lang)).column("word").cast(pa.binary()).to_pylist():
                     vocabulary[word]
-                yield pa.RecordBatch.from_arrays([pa.array(Bits(width, None).slots(vocabulary.hashes(lang))[1:])], names=["slot"])
+                yield from small(pa.RecordBatch.from_arrays([pa.array(Bits(width, None).slots(vocabulary.hashes(lang))[1:])], names=["slot"]))
 
     return words.select("lang", "word").mapInArrow(run, "slot bigint")
 
@@ -226,9 +231,9 @@ def leaves(rows: DataFrame, words: Bits, first: np.ndarray, several: np.ndarray)
             names = pa.array([None, *list(vocabulary)[1:]], pa.binary())
             columns = [names.take(pa.array(c)) for c in window[starts].T]
             leaf = pc.binary_join_element_wise(*columns, b"", b" ", null_handling="skip").cast(pa.string())
-            yield pa.RecordBatch.from_arrays([
+            yield from small(pa.RecordBatch.from_arrays([
                 pa.array(group), pa.array(spread == 1), pa.array([lang] * len(n), pa.string()), leaf, pa.array(n, pa.int64())],
-                names=["group", "whole", "lang", "leaf", "n"])
+                names=["group", "whole", "lang", "leaf", "n"]))
 
     return rows.mapInArrow(run, "group bigint, whole boolean, lang string, leaf string, n bigint")
 
@@ -257,9 +262,9 @@ def nodes(sorted_leaves: DataFrame, minimum: int) -> DataFrame:
                 inside[[0, -1]] = False
                 at = starts[take := (path[starts, depth] >= 0) & (~inside | (total >= minimum))]
                 columns = [flat.dictionary.take(pa.array(path[at, i])) for i in range(depth + 1)]
-                yield pa.RecordBatch.from_arrays([
+                yield from small(pa.RecordBatch.from_arrays([
                     batch.column("lang").take(pa.array(at)), pc.binary_join_element_wise(*columns, " "), pa.array(total[take])],
-                    names=["lang", "phrase", "n"])
+                    names=["lang", "phrase", "n"]))
 
     return sorted_leaves.mapInArrow(run, "lang string, phrase string, n bigint")
 
