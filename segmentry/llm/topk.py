@@ -58,7 +58,7 @@ def stacked(rows: list[np.ndarray], width: int) -> np.ndarray:
 def exact_type(x: np.ndarray, q: np.ndarray) -> type:
     """A type in which all sums of products and of their bounds are exact."""
     most = int(np.abs(x.astype(object)).max(initial=0)) * int(np.abs(q.astype(object)).sum(axis=1).max(initial=0)) if x.size and q.size else 0
-    return np.float64 if most < 2**51 else object
+    return np.float32 if most < 2**22 else np.float64 if most < 2**51 else object
 
 
 class Block:
@@ -88,12 +88,13 @@ class Block:
         while len(open_):
             end = min(depth + step, n)
             for (order, v, w), met in zip(ways, seen, strict=True):
-                for j in range(width):
-                    readers = np.nonzero(w[j][open_])[0]
-                    if len(readers):
-                        gain = v[depth:end, j, None] - v[-1, j]
-                        low[order[depth:end, j][:, None], readers] += gain * w[j][open_[readers]]
-                    met[order[depth:end, j], j] = True
+                at = order[depth:end], np.arange(width)
+                met[at] = True
+                # What the lists show in this step, added for all queries at once.
+                fresh = np.zeros((n, width), dtype=kind)
+                fresh[at] = v[depth:end] - v[-1]
+                shown_now = np.nonzero(fresh.any(axis=1))[0]
+                low[shown_now] += fresh[shown_now] @ w[:, open_]
             depth, step = end, step * 2
             shown = sum(met.astype(np.float32) @ (w[:, open_] != 0).astype(np.float32) for (_, _, w), met in zip(ways, seen, strict=True))
             room = [(v[depth - 1] - v[-1])[:, None] * w[:, open_] for _, v, w in ways]
