@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and terms that give a protected value away.
 
 Spans found by the patterns are the protected entities. Over the whole corpus
-the share of texts with a term, with an entity, and with the term close to the
+the share of different texts with a term, with an entity, and with the term close to the
 entity give the pointwise mutual information of the two; divided by the
 entity's own information it is the part of the entity that the term discloses:
 1 if the term appears next to that entity only. Terms at or above
@@ -9,17 +9,19 @@ entity's own information it is the part of the entity that the term discloses:
 to the entity's kind, in the texts where they stand close to the entity. Both need
 more texts with entity and term together than chance gives: of all pairs that are
 looked at, ``CHANCE`` at most are expected to reach that number without a tie
-(binomial tail, by its Chernoff bound), and never from one text alone. As exact
+(binomial tail, by its Chernoff bound), and never from one text alone; a text and
+its exact copies are one piece of evidence, and all get the spans found. As exact
 values seldom recur, the class of a value is an entity as well: the domain of an
 address, the network of an ip, the first digits of a card or a phone.
 
-One pass over the texts writes narrow rows: the spans by row, the terms near
-entities with their places, and text counts of all terms, summed by batch. All
-that follows works on these rows.
+One pass over the texts writes narrow rows: the spans by row, and the terms near
+entities with their places. A second one over the different texts counts the
+texts of each term, summed by batch. All that follows works on these rows.
 
-Defined cases: a NULL text is empty and has no spans; a NULL doc_id is carried
-through; repeated rows are counted as texts and get the same spans each; other
-columns are ignored, or kept by ``sanitised``.
+Defined cases: a NULL or empty text has no spans; a NULL doc_id is carried
+through; repeated rows get the same spans each; a very long text is read in
+linear time; no rows give no rows; other columns are ignored, or kept by
+``sanitised``.
 """
 
 from __future__ import annotations
@@ -129,31 +131,25 @@ def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str,
 
 
 _ROW = ("kind string, row bigint, doc_id bigint, key binary, counts array<bigint>, spans string, entity string, term string,"
-        " starts array<int>, ends array<int>, n bigint")
+        " starts array<int>, ends array<int>")
 
 
 def observe(docs: DataFrame) -> DataFrame:
-    """The narrow rows of one pass: kind 'row', 'near', 'entity' or 'term'."""
+    """The narrow rows of one pass: kind 'row' or 'near'."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole, ids, keys, rows = (batch.column(c).to_pylist() for c in ("text", "doc_id", "key", "row"))
-            found, near, seen = [base_spans(t) for t in whole], [], Counter()
-            for row, text, spans in zip(rows, whole, found, strict=True):
-                seen.update({w.lower() for w in set(_TERM.findall(text))})
-                if spans:
-                    near += [(row, *x) for x in near_terms(text, spans)]
+            found = [base_spans(t) for t in whole]
+            near = [(row, key, *x) for row, key, text, spans in zip(rows, keys, whole, found, strict=True) if spans for x in near_terms(text, spans)]
             n = len(rows)
             counts = [[sum(s[0] == k for s in spans) for k in KINDS] for spans in found]
             yield _batch(n, kind=["row"] * n, row=rows, doc_id=ids, key=keys, counts=counts, spans=[joined(s) for s in found])
             m = len(near)
-            pairs = {(row, entity) for row, entity, *_ in near}
-            yield _batch(m, kind=["near"] * m, **{c: [x[i] for x in near] for i, c in enumerate(("row", "entity", "term", "starts", "ends"))})
-            yield _batch(len(pairs), kind=["entity"] * len(pairs), entity=[e for _, e in sorted(pairs)])
-            yield _batch(len(seen), kind=["term"] * len(seen), term=list(seen), n=list(seen.values()))
+            yield _batch(m, kind=["near"] * m, **{c: [x[i] for x in near] for i, c in enumerate(("row", "key", "entity", "term", "starts", "ends"))})
 
     types = {"kind": pa.string(), "row": pa.int64(), "doc_id": pa.int64(), "key": pa.binary(), "counts": pa.list_(pa.int64()), "spans": pa.string(),
-             "entity": pa.string(), "term": pa.string(), "starts": pa.list_(pa.int32()), "ends": pa.list_(pa.int32()), "n": pa.int64()}
+             "entity": pa.string(), "term": pa.string(), "starts": pa.list_(pa.int32()), "ends": pa.list_(pa.int32())}
 
     def _batch(rows: int, /, **columns: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -163,15 +159,31 @@ def observe(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, _ROW)
 
 
-def disclosing(seen: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the pairs at or above ``GENERALISE_AT``."""
-    n = seen.filter("kind = 'row'").count()
-    together = seen.filter("kind = 'near'").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(term, with_term): in how many different texts each term stands.
+
+    Copies collapse before the shuffle, so a text that a third of all rows repeat is one row of each task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = Counter()
+            for text in batch.column("text").to_pylist():
+                seen.update({w.lower() for w in set(_TERM.findall(text))})
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+
+    return texts(docs).select("text").distinct().mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("with_term"))
+
+
+def disclosing(seen: DataFrame, counts: DataFrame) -> DataFrame:
+    """(entity, term, disclosure) of the pairs at or above ``GENERALISE_AT``. Only different texts are evidence."""
+    n = seen.filter("kind = 'row'").select("key").distinct().count()
+    near = seen.filter("kind = 'near'")
+    together = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
     together = materialise(together, "together")
     looked_at = together.count()
     together = together.filter("both > 1")
-    with_entity = seen.filter("kind = 'entity'").groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    counts = seen.filter("kind = 'term'").groupBy("term").agg(F.sum("n").alias("with_term"))
+    with_entity = near.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
     # Of the texts with the term, this share has the entity near it, and that share would by chance.
     share, by_chance = F.col("both") / F.col("with_term"), F.col("with_entity") / float(max(n, 1))
     surprise = F.col("both") * F.log(share / by_chance) + F.when(share < 1, (F.col("with_term") - F.col("both")) * F.log(
@@ -194,7 +206,7 @@ def analysed(docs: DataFrame) -> DataFrame:
     seen = materialise(observe(docs), "observed")
     near = seen.filter("kind = 'near'").select("row", "entity", "term", "starts", "ends")
     action = F.when(F.col("disclosure") >= REMOVE_AT, "removed").otherwise("generalised")
-    pairs = materialise(disclosing(seen), "disclosing")
+    pairs = materialise(disclosing(seen, term_counts(docs)), "disclosing")
     places = near.join(pairs, ["entity", "term"]).select(
         "row", action.alias("action"), F.substring_index("entity", ":", 1).alias("of"),
         F.explode(F.arrays_zip("starts", "ends")).alias("at"))

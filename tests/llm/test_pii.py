@@ -1,5 +1,7 @@
+import math
 import random
 import re
+from collections import defaultdict
 from hashlib import sha256
 
 from edges import edge_docs, edge_rows, empty_docs
@@ -77,3 +79,54 @@ def test_generalised_terms_get_the_kind(spark):
     rows += [(100 + i, f"write about the item{i} at noon today, to all") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert pii.sanitised(docs).filter("doc_id = 0").first()["text"] == "write to [EMAIL] at [EMAIL] about item0 today"
+
+
+def test_copies_are_no_evidence(spark):
+    rows = [(i, "write to zorblax at z@x.org about the item today") for i in range(40)]
+    rows += [(100 + i, f"write about the item{i} at noon today, to all") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["spans"] for r in pii.find(docs).filter("doc_id < 100").collect()} == {"email:20:27"}
+
+
+def brute_disclosing(texts):
+    """Pairs and their disclosure from sets of different texts, by plain counting."""
+    texts = sorted(set(texts))
+    of_term, of_entity, both = defaultdict(set), defaultdict(set), defaultdict(set)
+    for i, text in enumerate(texts):
+        for m in re.finditer(r"[^\W\d_]+", text):
+            of_term[m[0].lower()].add(i)
+        spans = brute(text)
+        words = [m for m in re.finditer(r"[^\W\d_]+", text) if not any(s < m.end() and m.start() < e for _, s, e in spans)]
+        for kind, start, end in spans:
+            close = [m for m in words if m.start() < start][-pii.NEAR :] + [m for m in words if m.start() >= start][: pii.NEAR]
+            for entity in pii.entities(kind, text[start:end]):
+                for m in close:
+                    of_entity[entity].add(i)
+                    both[entity, m[0].lower()].add(i)
+    n, out = len(texts), {}
+    for (entity, term), seen in both.items():
+        b, e, t = len(seen), len(of_entity[entity]), len(of_term[term])
+        surprise = b * math.log(b / t / (e / n)) + ((t - b) * math.log((1 - b / t) / (1 - e / n)) if b < t else 0)
+        part = math.log(b * n / (e * t)) / math.log(n / e) if e < n else 0
+        if b > 1 and part >= pii.GENERALISE_AT and surprise >= math.log(len(both) / pii.CHANCE):
+            out[entity, term] = part
+    return out
+
+
+def test_disclosure_matches_brute_force(spark):
+    random_ = random.Random(9)
+    words = [f"w{a}{b}" .translate(str.maketrans("0123456789", "abcdefghij")) for a in range(10) for b in range(10)]
+    texts = []
+    for i in range(600):
+        line = random_.choices(words, k=20)
+        if i % 6 == 0:
+            who = i // 6 % 5
+            line[10:10] = [f"name{'abcde'[who]}", f"u{who}@h{who}.org"]
+        elif i % 50 == 1:
+            line[5] = f"name{'abcde'[i % 5]}"
+        texts += [" ".join(line)] * random_.choice([1, 1, 1, 4])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = pii.disclosing(pii.observe(docs), pii.term_counts(docs)).collect()
+    expected = brute_disclosing(texts)
+    assert expected and {(r["entity"], r["term"]) for r in found} == set(expected)
+    assert all(abs(r["disclosure"] - expected[r["entity"], r["term"]]) < 1e-9 for r in found)
