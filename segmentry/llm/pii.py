@@ -159,10 +159,12 @@ def observe(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, _ROW)
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(term, with_term): in how many different texts each term stands.
+def term_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, with_term): in how many different texts each term of ``wanted`` stands.
 
     Copies collapse before the shuffle, so a text that a third of all rows repeat is one row of each task.
+    The counts of a batch meet the wanted terms before they are added up: in place, where the planner knows
+    these to be small, else in the one shuffle by term that the sums need as well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,17 +174,20 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 seen.update({w.lower() for w in set(_TERM.findall(text))})
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
 
-    return texts(docs).select("text").distinct().mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("with_term"))
+    words = texts(docs).select("text").distinct().mapInArrow(run, "term string, n bigint")
+    return words.join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("with_term"))
 
 
-def disclosing(seen: DataFrame, counts: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the pairs at or above ``GENERALISE_AT``. Only different texts are evidence."""
+def disclosing(seen: DataFrame, docs: DataFrame) -> DataFrame:
+    """(entity, term, disclosure) of the pairs at or above ``GENERALISE_AT``, from the observed rows of ``docs``.
+    Only different texts are evidence."""
     n = seen.filter("kind = 'row'").select("key").distinct().count()
     near = seen.filter("kind = 'near'")
     together = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
     together = materialise(together, "together")
     looked_at = together.count()
     together = together.filter("both > 1")
+    counts = term_counts(docs, materialise(together.select("term").distinct(), "wanted"))
     with_entity = near.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
     # Of the texts with the term, this share has the entity near it, and that share would by chance.
     share, by_chance = F.col("both") / F.col("with_term"), F.col("with_entity") / float(max(n, 1))
@@ -206,7 +211,7 @@ def analysed(docs: DataFrame) -> DataFrame:
     seen = materialise(observe(docs), "observed")
     near = seen.filter("kind = 'near'").select("row", "entity", "term", "starts", "ends")
     action = F.when(F.col("disclosure") >= REMOVE_AT, "removed").otherwise("generalised")
-    pairs = materialise(disclosing(seen, term_counts(docs)), "disclosing")
+    pairs = materialise(disclosing(seen, docs), "disclosing")
     places = near.join(pairs, ["entity", "term"]).select(
         "row", action.alias("action"), F.substring_index("entity", ":", 1).alias("of"),
         F.explode(F.arrays_zip("starts", "ends")).alias("at"))

@@ -126,7 +126,7 @@ def test_disclosure_matches_brute_force(spark):
             line[5] = f"name{'abcde'[i % 5]}"
         texts += [" ".join(line)] * random_.choice([1, 1, 1, 4])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    found = pii.disclosing(pii.observe(docs), pii.term_counts(docs)).collect()
+    found = pii.disclosing(pii.observe(docs), docs).collect()
     expected = brute_disclosing(texts)
     assert expected and {(r["entity"], r["term"]) for r in found} == set(expected)
     assert all(abs(r["disclosure"] - expected[r["entity"], r["term"]]) < 1e-9 for r in found)
