@@ -11,13 +11,14 @@ its own, and the count of a node is the total of the leaves below it.
    input; beyond it more is kept, which costs speed only.
 2. Every remaining position gives a leaf, its suffix of up to ``LONGEST`` words;
    equal leaves of a block of texts are counted before they are shuffled, so that
-   a passage of a third of all texts is a row a block.
+   a passage of a third of all texts is one leaf a block.
 3. The prefixes of two words fall into 2^``CELL_BITS`` hashed cells, whose weights
    are counted with the words. Cells are packed into groups up to the budget; a cell above
-   it is spread over several groups by the rest of its leaves.
-4. A group's leaves are sorted by Spark and read in order; a subtree is never held
-   as a whole: equal beginnings of neighbours are the nodes, summed by
-   batch. Totals of spread cells meet in a last, small aggregation.
+   it is spread over several groups by the rest of its leaves. A block's leaves of a group
+   travel in one row, their words once and their paths as numbers, compressed.
+4. A group's subtree is grown level by level in the memory that the budget bounds: the
+   count of a node is the total of its leaves, and a node below the minimum has no children.
+   Parts of spread cells are not cut; their totals meet in a last, small aggregation.
 5. First parts and rests of all cuts are looked up by joins with the same counts.
    A phrase is covered by a longer one of the same count exactly if it is by one
    that is one word longer, as no phrase between them can have another count.
@@ -36,7 +37,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from typing import NamedTuple
 
@@ -197,9 +198,56 @@ def packed(weights: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
     return first, several
 
 
+def keys(columns: Iterable[np.ndarray], size: int) -> list[np.ndarray]:
+    """Columns of numbers below ``size``, joined to as few columns of 63 bits as hold them, in the same order."""
+    out, room = [], 1
+    for column in columns:
+        if out and room * size < 2**63:
+            out[-1], room = out[-1] * size + column, room * size
+        else:
+            out.append(column.astype(np.int64))
+            room = size
+    return out
+
+
+def shut(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def opened(held: bytes) -> bytes:
+    return pa.decompress(held[8:], int.from_bytes(held[:8], "little"), "zstd", asbytes=True)
+
+
+def narrow(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on in as few bytes each as the largest needs."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0)))).tobytes()
+
+
+def bundle(paths: np.ndarray, n: np.ndarray, words: list[bytes]) -> tuple[int, bytes, bytes, bytes]:
+    """Number of leaves, their own words, their paths as numbers of these (0: none) by depth, and occurrences."""
+    used, own = np.unique(np.append(0, paths), return_inverse=True)
+    return len(n), shut(b" ".join([words[i] for i in used[1:]])), shut(narrow(own[1:].reshape(paths.shape).T)), shut(narrow(n))
+
+
+def unbundled(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Paths, occurrences and words of the bundles of one group and language."""
+    names = pc.split_pattern(pa.array([opened(r["words"]) for r in rows], pa.large_binary()), " ")
+    of = pc.list_value_length(names).to_numpy()
+    flat = names.flatten().dictionary_encode()
+    number, low = flat.indices.to_numpy().astype(np.int32) + 1, 0
+    paths, n = [], []
+    for row, many in zip(rows, of, strict=True):
+        raw, counted = opened(row["paths"]), opened(row["n"])
+        leaves_ = row["leaves"]
+        at = np.frombuffer(raw, f"u{len(raw) // (LONGEST * leaves_)}").reshape(LONGEST, leaves_)
+        paths.append(np.append(np.int32(0), number[low : low + many])[at])
+        n.append(np.frombuffer(counted, f"u{len(counted) // leaves_}").astype(np.int64))
+        low += many
+    return np.concatenate(paths, axis=1), np.concatenate(n), flat.dictionary
+
+
 def leaves(rows: DataFrame, words: Bits, first: np.ndarray, several: np.ndarray) -> DataFrame:
-    """group, whole (all leaves of its first two words are in the group), lang, leaf (each word ends in a space) and
-    its occurrences, by block."""
+    """group, whole (all leaves of its first two words are in the group), lang and the bundled leaves of a block in the group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, vocabulary, ids in blocks(batches, BLOCK):
@@ -213,60 +261,79 @@ def leaves(rows: DataFrame, words: Bits, first: np.ndarray, several: np.ndarray)
             if not len(at):
                 continue
             pair = pair_hashes(ids, at, hashes)
-            window, on = np.zeros((len(at), LONGEST), np.int32), np.ones(len(at), bool)
-            window[:, 0], hashed = ids[at], pair.copy()
+            window, on = np.zeros((LONGEST, len(at)), np.int32), np.ones(len(at), bool)
+            window[0], hashed = ids[at], pair.copy()
             for i in range(1, LONGEST):
                 on &= ok[at + i - 1]
-                window[:, i] = np.where(on, ids[at + i], 0)
-                hashed = hashed * SPREAD + hashes[window[:, i]]
-            order = np.lexsort(window.T[::-1])
-            window = window[order]
-            new = np.append(True, (window[1:] != window[:-1]).any(axis=1))
+                window[i] = np.where(on, ids[at + i], 0)
+                hashed = hashed * SPREAD + hashes[window[i]]
+            path = keys(window, len(vocabulary))
+            order = np.lexsort(path[::-1])
+            new = np.append(True, np.zeros(len(at) - 1, bool))
+            for key in path:
+                key = key[order]
+                new[1:] |= key[1:] != key[:-1]
             starts = np.flatnonzero(new)
-            n = np.diff(np.append(starts, len(window)))
-            rows_ = order[starts]
-            cell = cells(pair[rows_])
+            n = np.diff(np.append(starts, len(at)))
+            picked = order[starts]
+            cell = cells(pair[picked])
             spread = several[cell]
-            group = first[cell] + (mixed(hashed[rows_]) % spread.astype(np.uint64)).astype(np.int64)
-            names = pa.array([None, *list(vocabulary)[1:]], pa.binary())
-            columns = [names.take(pa.array(c)) for c in window[starts].T]
-            leaf = pc.binary_join_element_wise(*columns, b"", b" ", null_handling="skip").cast(pa.string())
-            yield from small(pa.RecordBatch.from_arrays([
-                pa.array(group), pa.array(spread == 1), pa.array([lang] * len(n), pa.string()), leaf, pa.array(n, pa.int64())],
-                names=["group", "whole", "lang", "leaf", "n"]))
-
-    return rows.mapInArrow(run, "group bigint, whole boolean, lang string, leaf string, n bigint")
-
-
-def nodes(sorted_leaves: DataFrame, minimum: int) -> DataFrame:
+            group = first[cell] + (mixed(hashed[picked]) % spread.astype(np.uint64)).astype(np.int64)
+            by_group = np.argsort(group, kind="stable")
+            group, picked, n, spread = group[by_group], picked[by_group], n[by_group], spread[by_group]
+            lows = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            names, window = list(vocabulary), window.T
+            highs = np.append(lows[1:], len(group))
+            for part in range(0, len(lows), 64):
+                some = slice(part, part + 64)
+                held = [bundle(window[picked[low:high]], n[low:high], names) for low, high in zip(lows[some], highs[some], strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(group[lows[some]]), pa.array(spread[lows[some]] == 1), pa.array([lang] * len(held), pa.string()),
+                    *[pa.array(c, t) for c, t in zip(zip(*held, strict=True), (pa.int64(), *[pa.binary()] * 3), strict=True)]],
+                    names=["group", "whole", "lang", "leaves", "words", "paths", "n"])
+
+    return rows.mapInArrow(
+        run, "group bigint, whole boolean, lang string, leaves bigint, words binary, paths binary, n binary")
+
+
+def subtree(rows: list[dict], minimum: int) -> Iterator[pa.RecordBatch]:
+    """lang, phrase, n of the nodes of a group and language, level by level; below ``minimum`` a whole node has no children."""
+    path, n, names = unbundled(rows)
+    whole = rows[0]["whole"]
+    parent = path[0].astype(np.int64)
+    for depth in range(1, LONGEST):
+        held = path[depth] > 0
+        path, n, parent = path[:, held], n[held], parent[held]
+        _, example, node = np.unique(parent * (len(names) + 1) + path[depth], return_index=True, return_inverse=True)
+        total = np.zeros(len(example), np.int64)
+        np.add.at(total, node, n)
+        good = total >= minimum if whole else np.ones(len(total), bool)
+        at, total = example[good], total[good]
+        for low in range(0, len(at), 10_000):
+            some = slice(low, low + 10_000)
+            columns = [names.take(pa.array(path[i, at[some]] - 1)) for i in range(depth + 1)]
+            phrase = pc.binary_join_element_wise(*columns, pa.scalar(b" ", names.type)).cast(pa.large_string()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([rows[0]["lang"]] * len(phrase), pa.string()), phrase, pa.array(total[some])], names=["lang", "phrase", "n"])
+        held = good[node]
+        path, n, parent = path[:, held], n[held], (np.cumsum(good) - 1)[node[held]]
+
+
+def nodes(placed: DataFrame, minimum: int) -> DataFrame:
     """lang, phrase and the total of its leaves: whole totals from ``minimum`` on, and parts that others complete."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            split = pc.split_pattern(batch.column("leaf"), " ")
-            lengths = pc.list_value_length(split).to_numpy()
-            flat = split.flatten().dictionary_encode()
-            place = np.arange(LONGEST)
-            held = place < (lengths - 1)[:, None]
-            path = np.where(held, flat.indices.to_numpy()[np.where(held, (np.cumsum(lengths) - lengths)[:, None] + place, 0)], -1)
-            lang = batch.column("lang").dictionary_encode().indices.to_numpy()
-            n, whole = batch.column("n").to_numpy(), batch.column("whole").to_numpy(zero_copy_only=False)
-            new = np.append(True, (lang[1:] != lang[:-1]) | (path[1:, 0] != path[:-1, 0]))
-            for depth in range(1, LONGEST):
-                new[1:] |= path[1:, depth] != path[:-1, depth]
-                starts = np.flatnonzero(new)
-                total = np.add.reduceat(n, starts)
-                inside = whole[starts].copy()
-                inside[[0, -1]] = False
-                at = starts[take := (path[starts, depth] >= 0) & (~inside | (total >= minimum))]
-                columns = [flat.dictionary.take(pa.array(path[at, i])) for i in range(depth + 1)]
-                yield from small(pa.RecordBatch.from_arrays([
-                    batch.column("lang").take(pa.array(at)), pc.binary_join_element_wise(*columns, " "), pa.array(total[take])],
-                    names=["lang", "phrase", "n"]))
-
-    return sorted_leaves.mapInArrow(run, "lang string, phrase string, n bigint")
+            for row in batch.to_pylist():
+                if held and (row["group"], row["lang"]) != (held[0]["group"], held[0]["lang"]):
+                    yield from subtree(held, minimum)
+                    held = []
+                held.append(row)
+        if held:
+            yield from subtree(held, minimum)
+
+    return placed.mapInArrow(run, "lang string, phrase string, n bigint")
 
 
 def counts(docs: DataFrame, minimum: int = MINIMUM, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
@@ -283,7 +350,8 @@ def counts(docs: DataFrame, minimum: int = MINIMUM, budget: int = BUDGET) -> tup
     weights[by_cell["cell"].to_numpy()] = by_cell["n"].to_numpy()
     first, several = packed(weights, budget)
     groups = max(int((first + several).max()), input_partitions(docs))
-    placed = leaves(rows, table, first, several).repartition(groups, "group").sortWithinPartitions("lang", "leaf")
+    # A group is its own partition.
+    placed = leaves(rows, table, first, several).repartitionById(groups, F.col("group").cast("int")).sortWithinPartitions("group", "lang")
     found = nodes(placed, minimum).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
     both = known.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f")).unionByName(
         found.filter(F.col("f") >= minimum))
