@@ -142,13 +142,18 @@ def runs(rows: DataFrame, min_words: int = MIN_WORDS, fine: bool = False) -> Dat
     passage = F.col("unit") == PASSAGE
     # Runs of words that overlap their first occurrence are no repeats of it.
     apart = F.when(passage, F.col("seq") >= F.col("first.seq") + GRAM_WORDS).otherwise(F.col("seq") != F.col("first.seq"))
-    repeats = found.join(first, ["high", "low"]).filter((F.col("row") != F.col("first.row")) | apart)
+    # All units are shuffled here, so they leave their doc_id behind and carry small numbers.
+    light = found.select("row", "seq", "start", (F.col("end") - F.col("start")).alias("length"),
+                         (F.col("words").cast("bigint") * 4 + F.col("unit")).alias("sized"), "high", "low")
+    repeats = light.join(first, ["high", "low"]).select(
+        "row", "seq", "start", (F.col("start") + F.col("length")).alias("end"), F.shiftright("sized", 2).alias("words"),
+        F.col("sized").bitwiseAND(3).cast("int").alias("unit"), "first").filter((F.col("row") != F.col("first.row")) | apart)
     # Neighbours have equal differences of unit number and place among the text's repeats; runs of words touch.
     by_row = Window.partitionBy("row", passage).orderBy("seq")
     opens = F.coalesce(F.col("seq") > F.lag("seq").over(by_row) + F.when(passage, GRAM_WORDS).otherwise(1), F.lit(True))
     marked = repeats.withColumn("opens", opens.cast("int")).withColumn("island", F.sum("opens").over(by_row))
     islands = marked.groupBy("row", passage.alias("passage"), "island").agg(
-        F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"),
+        F.min("start").alias("start"), F.max("end").alias("end"),
         F.when(F.first("unit") == PASSAGE, F.max("seq") - F.min("seq") + GRAM_WORDS).otherwise(F.sum("words")).cast("bigint").alias("words"),
         F.count(F.lit(1)).alias("units"), F.min(F.struct("seq", "first")).alias("head"), F.max("unit").alias("unit"),
     ).filter(F.col("words") >= min_words)
@@ -158,7 +163,8 @@ def runs(rows: DataFrame, min_words: int = MIN_WORDS, fine: bool = False) -> Dat
         reach = F.max(F.when(~F.col("passage"), F.col("end"))).over(before)
         islands = islands.withColumn("reach", reach).filter(~F.col("passage") | F.col("reach").isNull() | (F.col("end") > F.col("reach")))
     kinds = F.array(F.lit("sentence"), F.lit("line"), F.lit("passage"))
-    return islands.select(
+    owners = found.groupBy("row").agg(F.min("doc_id").alias("doc_id"))
+    return islands.join(owners, "row").select(
         "row", "doc_id", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"), "words", "units",
         F.col("head.first.doc_id").alias("kept_doc_id"), F.col("head.first.start").cast("bigint").alias("kept_start"), kinds[F.col("unit")].alias("kind"))
 
