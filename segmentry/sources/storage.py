@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+# Spark's setting that an execution removes its shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -35,9 +38,17 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     The result survives the loss of executors, is computed once however many
     branches read it, and keeps column pruning and file statistics. Zstandard
     holds sorted numbers and texts in less of the shared disk than the default.
+    Nothing reads the shuffles of the write once it has ended, so its files go at
+    once and not when the driver next collects garbage.
     """
     path = new_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from segmentry.operators import dml
 from segmentry.plans import refresh, writeback
 from segmentry.sources.schemas import ASSETS, BRIEFS
-from segmentry.sources.storage import Tables, materialise, shared_dir
+from segmentry.sources.storage import CLEANUP, Tables, materialise, shared_dir
 from tests.conftest import rows
 
 FIRST, LATER = datetime(2024, 6, 1, 9, 30, 5), datetime(2024, 6, 2, 10, 0, 0)
@@ -151,3 +151,16 @@ def test_assets_are_parsed_with_defaults(spark):
 def test_row_counts(spark):
     got = refresh.row_counts({"a": spark.range(3), "b": spark.range(0)})
     assert rows(got) == [("a", 3), ("b", 0)]
+
+
+def test_materialise_leaves_the_session_as_it_was(spark):
+    for own in (None, "false"):
+        if own:
+            spark.conf.set(CLEANUP, own)
+        counted = spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count()
+        written = materialise(counted)
+        assert sorted(written.collect()) == sorted(counted.collect())
+        with pytest.raises(Exception):
+            materialise(spark.range(1).select(F.raise_error(F.lit("no")).alias("x")))
+        assert spark.conf.get(CLEANUP, None) == own
+    spark.conf.unset(CLEANUP)
