@@ -9,7 +9,8 @@ since then, the last piece before it and the number of tokens up to there; a
 transition moves all of them by one code point and is annotated with the tokens
 that are certain by then (the least of the numbers), which is taken out of the
 state. States and transitions are compiled when they are first taken and kept up
-to a bound.
+to a bound. By the last code point of a text only the tokens owed are read, which
+needs no state behind it: most words that come once end in a transition of their own.
 
 Where no piece of the model holds two code points next to each other, tokens
 cannot cross them: the state after such a cut is the start state. A chunk of a
@@ -168,6 +169,28 @@ class Transducer:
             found = self.pairs[last, piece] = merged(self.scores, last + piece) == ([last, piece] if last else [piece])
         return found
 
+    def ended(self, state: State, c: str) -> int:
+        """The tokens owed if the text ends by ``c``: the final output, for which no state is compiled."""
+        if (found := state.next.get(c)) is not None:
+            return found[1] + found[0].left
+        trie, pieces, pairs, plain = self.trie, self.piece, self.pairs, c in self.scores
+        _, last, n = state.open[-1]
+        if not plain:
+            crossing = any(c in trie[node] for node, _, _ in state.open[:-1])
+            if self.fits(last if crossing else "", c):
+                return n + len(c.encode("utf-8", "surrogatepass"))
+        moved = False
+        for node, last, n in state.open:
+            if (child := trie[node].get(c)) is not None:
+                if not node and not moved:
+                    last = ""
+                moved = True
+                if (piece := pieces[child]) is not None:
+                    fit = pairs.get((last, piece))
+                    if self.fits(last, piece) if fit is None else fit:
+                        return n + 1
+        raise ValueError("no piece ends here")
+
     def compile(self, state: State, c: str) -> tuple[State, int]:
         """The transition of ``state`` by ``c``, with the tokens it emits."""
         trie, pieces, fits = self.trie, self.piece, self.fits
@@ -180,7 +203,12 @@ class Transducer:
         if c not in self.scores and fits(last, c):
             end, tokens = c, n + len(c.encode("utf-8", "surrogatepass"))
         else:  # One piece ends here, mostly the longest.
-            end, tokens = next((piece, k + 1) for node, last_, k in moved if (piece := pieces[node]) is not None and fits(last_, piece))
+            for node, last_, k in moved:
+                if (piece := pieces[node]) is not None and fits(last_, piece):
+                    end, tokens = piece, k + 1
+                    break
+            else:
+                raise ValueError("no piece ends here")
         emitted, going = tokens, [x for x in moved if trie[x[0]]]
         for x in going:
             if x[2] < emitted:
@@ -226,9 +254,11 @@ class Transducer:
 
     def count(self, run: str, size: int = CHUNK) -> int:
         """Tokens of a text of any length: the maps of its chunks, composed in rounds of neighbours."""
+        if not run:
+            return 0
         if len(run) <= size:
-            state, count = self.run(self.start, run)
-            return count + state.left
+            state, count = self.run(self.start, run[:-1])
+            return count + self.ended(state, run[-1])
         cuts = range(0, len(run), size)
         maps = [self.map(run[i : i + size], i == 0 or self.cut(run[i - 1], run[i])) for i in cuts]
         while len(maps) > 1:

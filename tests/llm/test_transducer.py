@@ -56,6 +56,26 @@ def test_long_runs_and_small_caches():
         expected(w) for w in "some words come again some words come again and others".split()]
 
 
+def test_the_last_code_point_compiles_no_state():
+    machine = transducer.Transducer(MODEL)
+    assert machine.count(" wordx") == expected("wordx") and machine.count("") == 0
+    states = len(machine.states)
+    for c in "abcdefghijß中 ":
+        assert machine.count(" word" + c) == expected("word" + c)
+    assert len(machine.states) == states
+
+
+def test_final_outputs_are_those_of_the_states():
+    draw = random.Random(9)
+    machine = transducer.Transducer(MODEL, most_states=50)
+    for _ in range(1_000):
+        text = " " + "".join(draw.choices(draw.choice(SIGNS).replace("▁", " "), k=draw.randint(1, 30)))
+        state, _ = machine.run(machine.start, text[:-1])
+        owed = machine.ended(state, text[-1])
+        behind, emitted = machine.compile(state, text[-1])
+        assert owed == emitted + behind.left == machine.ended(state, text[-1])
+
+
 def unigram_model(tmp_path):
     # A trainer message that names model type 1.
     path = tmp_path / "m.model"
